@@ -73,9 +73,11 @@ def attribute_sets(silver: DataFrame) -> DataFrame:
     return silver.select(*columns, day).distinct()
 
 
-def build_dimensions(silver: DataFrame) -> Dimensions:
-    """All four dimensions, reading `silver` once."""
-    sets = materialize(attribute_sets(silver))
+def build_dimensions(silver: DataFrame, store: bool = False) -> Dimensions:
+    """All four dimensions from the attribute sets, which `store` computes once and keeps."""
+    sets = attribute_sets(silver)
+    if store:
+        sets = materialize(sets)
     return Dimensions(
         line=production_lines(sets),
         machine=machines(sets),

@@ -21,6 +21,7 @@ from plantlens.operators.aggregates import (
 )
 from plantlens.operators.joins import lookup_join
 from plantlens.operators.out_of_spec import count_out_of_spec
+from plantlens.session import materialize
 
 # The parameters of the vibration and power KPIs.
 VIBRATION = "vibration_mm_s_rms"
@@ -145,7 +146,7 @@ def process_stage_anomaly_rate(
     looked up before readings are counted.
     """
     categories = stages.select("process_stage", "stage_category", "stage_sequence").distinct()
-    with_category = lookup_join(readings, categories, ["process_stage"])
+    with_category = lookup_join(readings, materialize(categories), ["process_stage"])
     counts = count_readings(
         with_category, ["stage_category", "stage_sequence", "line_id", "date_key"]
     )

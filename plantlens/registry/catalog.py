@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plantlens.registry import products  # noqa: F401
+from plantlens.registry import checks, joining, maintenance, products, shaping  # noqa: F401
 from plantlens.registry.core import QUERIES
 
 __all__ = ["QUERIES"]

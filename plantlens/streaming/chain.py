@@ -95,7 +95,7 @@ def ingest(
 
 def refresh_dimensions(spark: SparkSession, lake: str) -> Dimensions:
     """Recompute the four dimensions from all of silver, which is scanned once."""
-    dims = build_dimensions(read_table(spark, lake, schemas.SILVER))
+    dims = build_dimensions(read_table(spark, lake, schemas.SILVER), store=True)
     for df, spec in (
         (dims.line, schemas.DIM_LINE),
         (dims.machine, schemas.DIM_MACHINE),
