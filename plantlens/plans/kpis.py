@@ -21,7 +21,6 @@ from plantlens.operators.aggregates import (
 )
 from plantlens.operators.joins import lookup_join
 from plantlens.operators.out_of_spec import count_out_of_spec
-from plantlens.session import materialize
 
 # The parameters of the vibration and power KPIs.
 VIBRATION = "vibration_mm_s_rms"
@@ -143,10 +142,10 @@ def process_stage_anomaly_rate(
     """Flagged share of readings per stage category, line and day.
 
     A reading may occur under several stages of a category and counts once, so the category is
-    looked up before readings are counted.
+    looked up before readings are counted. `stages` should be stored, its size is measured.
     """
     categories = stages.select("process_stage", "stage_category", "stage_sequence").distinct()
-    with_category = lookup_join(readings, materialize(categories), ["process_stage"])
+    with_category = lookup_join(readings, categories, ["process_stage"])
     counts = count_readings(
         with_category, ["stage_category", "stage_sequence", "line_id", "date_key"]
     )

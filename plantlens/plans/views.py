@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plantlens import schemas
 from plantlens.operators.aggregates import readings_of_fact
 from plantlens.operators.dimensions import Dimensions
+from plantlens.operators.out_of_spec import varying
 from plantlens.plans import kpis
 from plantlens.sources.tables import read_table
 
@@ -20,41 +21,42 @@ def read_dimensions(spark: SparkSession, lake: str) -> Dimensions:
     )
 
 
-# Each view computes from (fact, dimensions) when it is asked for.
+# Each view computes from (fact, dimensions, series statistics or None) when it is asked for.
 VIEWS = {
-    "mv_anomaly_rate": lambda fact, dims: kpis.anomaly_rate(
+    "mv_anomaly_rate": lambda fact, dims, stats: kpis.anomaly_rate(
         readings_of_fact(fact), dims.line, dims.machine
     ),
-    "mv_vibration_trend": lambda fact, dims: kpis.vibration_trend(fact, dims.line, dims.machine),
-    "mv_parameter_stability": lambda fact, dims: kpis.parameter_stability(
+    "mv_vibration_trend": lambda fact, dims, stats: kpis.vibration_trend(fact, dims.line, dims.machine),
+    "mv_parameter_stability": lambda fact, dims, stats: kpis.parameter_stability(
         fact, dims.machine, dims.stage
     ),
-    "mv_process_stage_anomaly_rate": lambda fact, dims: kpis.process_stage_anomaly_rate(
+    "mv_process_stage_anomaly_rate": lambda fact, dims, stats: kpis.process_stage_anomaly_rate(
         readings_of_fact(fact), dims.stage, dims.line
     ),
-    "mv_power_consumption": lambda fact, dims: kpis.power_consumption(
+    "mv_power_consumption": lambda fact, dims, stats: kpis.power_consumption(
         fact, dims.line, dims.machine
     ),
-    "mv_hourly_anomaly_heatmap": lambda fact, dims: kpis.hourly_anomaly_heatmap(
+    "mv_hourly_anomaly_heatmap": lambda fact, dims, stats: kpis.hourly_anomaly_heatmap(
         readings_of_fact(fact), dims.line
     ),
-    "mv_parameter_out_of_spec": lambda fact, dims: kpis.parameter_out_of_spec(
-        fact, dims.machine, dims.stage
+    "mv_parameter_out_of_spec": lambda fact, dims, stats: kpis.parameter_out_of_spec(
+        fact, dims.machine, dims.stage, stats
     ),
 }
 
 
-def kpi(spark: SparkSession, lake: str, name: str) -> DataFrame:
+def kpi(spark: SparkSession, lake: str, name: str, stats: DataFrame | None = None) -> DataFrame:
+    """One KPI of a lake. Without `stats` those it needs are taken from the fact right away."""
     fact = read_table(spark, lake, schemas.FACT)
-    return VIEWS[name](fact, read_dimensions(spark, lake))
+    return VIEWS[name](fact, read_dimensions(spark, lake), stats)
 
 
 def create_views(spark: SparkSession, lake: str) -> list[str]:
     """Create or replace all seven as temporary views for `spark.sql`.
 
-    The out-of-spec view stores the statistics of its series when it is created; create the
-    views again after an increment.
+    The fact is not read here: the out-of-spec view uses the stored statistics of the series.
     """
+    stats = varying(read_table(spark, lake, schemas.STATS))
     for name in VIEWS:
-        kpi(spark, lake, name).createOrReplaceTempView(name)
+        kpi(spark, lake, name, stats).createOrReplaceTempView(name)
     return list(VIEWS)

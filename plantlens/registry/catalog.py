@@ -1,8 +1,15 @@
-"""All registered queries, in the order of the inventory."""
+"""All registered queries."""
 
 from __future__ import annotations
 
-from plantlens.registry import checks, joining, maintenance, products, shaping  # noqa: F401
+from plantlens.registry import (  # noqa: F401
+    checks,
+    ingest,
+    joining,
+    maintenance,
+    products,
+    shaping,
+)
 from plantlens.registry.core import QUERIES
 
 __all__ = ["QUERIES"]

@@ -12,6 +12,7 @@ from plantlens.plans import kpis
 from plantlens.registry.bindings import dimensions, fact, landing, silver
 from plantlens.registry.core import query
 from plantlens.registry.oracle import WITH, rate
+from plantlens.session import materialize
 from plantlens.sources.landing import read_lines
 
 
@@ -165,7 +166,8 @@ def parameter_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
 def process_stage_anomaly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = dimensions(spark, sf_dir)
     readings = readings_of_silver(silver(spark, sf_dir))
-    return with_double_rates(kpis.process_stage_anomaly_rate(readings, dims.stage, dims.line))
+    stages = materialize(dims.stage)
+    return with_double_rates(kpis.process_stage_anomaly_rate(readings, stages, dims.line))
 
 
 @query(

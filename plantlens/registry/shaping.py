@@ -243,9 +243,8 @@ def absolute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "fn_03_arithmetic",
-    f"""{WITH} SELECT record_id, round(value + k, 6) AS total, round(value - k, 6) AS gap,
-    round(value * k, 6) AS product,
-    CAST(round(CAST(value / (k + 1) AS DECIMAL(18, 9)), 6) AS DOUBLE) AS ratio,
+    f"""{WITH} SELECT record_id, value + k AS total, value - k AS gap, value * k AS product,
+    value / (k + 1) AS ratio,
     value > k AND k >= 10 AS above FROM silver""",
 )
 def arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,10 +252,10 @@ def arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.element_at("telemetry", F.lit(POWER))
     return silver(spark, sf_dir).select(
         "record_id",
-        F.round(value + k, 6).alias("total"),
-        F.round(value - k, 6).alias("gap"),
-        F.round(value * k, 6).alias("product"),
-        F.round(value / (k + 1), 6).alias("ratio"),
+        (value + k).alias("total"),
+        (value - k).alias("gap"),
+        (value * k).alias("product"),
+        (value / (k + 1)).alias("ratio"),
         ((value > k) & (k >= 10)).alias("above"),
     )
 

@@ -111,6 +111,13 @@ STAGE_SCHEMA = _struct(
     stage_category=STRING,
 )
 
+STATS_SCHEMA = _struct(
+    machine_id=STRING,
+    parameter_name=STRING,
+    overall_mean=DOUBLE,
+    overall_stddev=DOUBLE,
+)
+
 LIMITS_SCHEMA = _struct(
     machine_id=STRING,
     parameter_name=STRING,
@@ -200,4 +207,11 @@ DIM_STAGE = TableSpec(
     {"quality": "gold"},
 )
 
-TABLES = (BRONZE, SILVER, FACT, DIM_LINE, DIM_MACHINE, DIM_DATE, DIM_STAGE)
+STATS = TableSpec(
+    "gold_parameter_stats",
+    STATS_SCHEMA,
+    "Mean and deviation per machine and parameter over the whole fact",
+    {"quality": "gold"},
+)
+
+TABLES = (BRONZE, SILVER, FACT, DIM_LINE, DIM_MACHINE, DIM_DATE, DIM_STAGE, STATS)

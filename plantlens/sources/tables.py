@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from plantlens.schemas import TABLES, TableSpec
+from plantlens.schemas import TableSpec
 from plantlens.sources.landing import REMEMBER_FILES_FOR
 
-SPECS = {spec.name: spec for spec in TABLES}
-
 
 def table_path(lake: str, spec: TableSpec) -> str:
     return f"{lake.rstrip('/')}/{spec.name}"
@@ -63,12 +61,12 @@ def register_table(spark: SparkSession, lake: str, spec: TableSpec, database: st
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
     partitions = f"PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
     properties = ", ".join(f"'{k}' = '{v}'" for k, v in spec.properties.items())
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake}/_catalog'")
     spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet {partitions} "
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitions} "
         f"LOCATION '{table_path(lake, spec)}' COMMENT '{spec.comment}' TBLPROPERTIES ({properties})"
     )
-    if spec.partition_by:
+    # Tables written by a stream list their own files and need no partitions in the catalog.
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
     return name

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plantlens import schemas
 from plantlens.operators.dimensions import Dimensions, build_dimensions
+from plantlens.operators.out_of_spec import parameter_stats
 from plantlens.operators.parse import fact_rows, parse_lines
 from plantlens.operators.quality import expectation_report, observe_expectations
 from plantlens.plans.views import create_views
@@ -106,13 +107,20 @@ def refresh_dimensions(spark: SparkSession, lake: str) -> Dimensions:
     return dims
 
 
+def refresh_statistics(spark: SparkSession, lake: str) -> None:
+    """Recompute the statistics of all series from the fact, in one pass."""
+    stats = parameter_stats(read_table(spark, lake, schemas.FACT))
+    overwrite_table(stats, lake, schemas.STATS)
+
+
 def run(spark: SparkSession, landing: str, lake: str, **options) -> dict[str, Counts]:
-    """One increment, then dimensions, then views.
+    """One increment, then dimensions and statistics, then views.
 
     Dimensions follow the fact, since the KPIs drop fact rows whose dimension row is missing.
     """
     counts = ingest(spark, landing, lake, **options)
     refresh_dimensions(spark, lake)
+    refresh_statistics(spark, lake)
     create_views(spark, lake)
     return counts
 

@@ -1,0 +1,173 @@
+"""Limits, findings, knowledge and reports on small frames."""
+
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from plantlens.operators.findings import parameter_profile, watch_list
+from plantlens.operators.limits import check_limits, read_limits, tally_violations
+from plantlens.operators.reports import (
+    assemble_reports,
+    explain_findings,
+    parts_list,
+    read_knowledge,
+    remediation_steps,
+)
+from plantlens.schemas import LINE_SCHEMA, MACHINE_SCHEMA
+
+FACT = "line_id STRING, machine_id STRING, record_id STRING, is_anomaly BOOLEAN, parameter_name STRING, parameter_value DOUBLE"
+
+
+@pytest.fixture(scope="module")
+def limits(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("limits") / "limits.jsonl"
+    rows = [
+        {"machine_id": "M1", "parameter_name": "upper", "threshold": 10.0},
+        {"machine_id": "M1", "parameter_name": "both", "threshold_low": 1.0, "threshold_high": 2.0},
+        {"machine_id": "M1", "parameter_name": "lower", "threshold_low": 5.0},
+        {"machine_id": "M1", "parameter_name": "high", "threshold_high": -40.0},
+    ]
+    path.write_text("\n".join(map(json.dumps, rows)))
+    return read_limits(spark, str(path))
+
+
+@pytest.mark.parametrize("max_bytes", [10**7, 0])
+def test_four_forms_of_limits(spark, limits, max_bytes):
+    cases = [
+        ("upper", 10.0, None),
+        ("upper", 10.1, "high"),
+        ("upper", -99.0, None),
+        ("both", 1.0, None),
+        ("both", 0.9, "low"),
+        ("both", 2.1, "high"),
+        ("lower", 4.9, "low"),
+        ("lower", 500.0, None),
+        ("high", -39.0, "high"),
+        ("high", -40.0, None),
+        ("unlimited", 1e9, None),
+        ("upper", None, None),
+        (None, 1.0, None),
+    ]
+    rows = [("L", "M1", f"r{i}", False, name, value) for i, (name, value, _) in enumerate(cases)]
+    checked = check_limits(spark.createDataFrame(rows, FACT), limits, max_bytes=max_bytes)
+    found = {r["record_id"]: (r["side"], r["violation"]) for r in checked.collect()}
+    assert found == {f"r{i}": (side, side is not None) for i, (_, _, side) in enumerate(cases)}
+
+
+def test_tally(spark, limits):
+    rows = [
+        ("L1", "M1", "a", True, "upper", 11.0),
+        ("L1", "M1", "a", True, "both", 0.0),
+        ("L1", "M1", "b", False, "upper", 1.0),
+        ("L2", "M1", "c", None, "upper", 1.0),
+    ]
+    tally = tally_violations(check_limits(spark.createDataFrame(rows, FACT), limits))
+    found = {r["line_id"]: tuple(r)[1:] for r in tally.collect()}
+    assert found == {"L1": (2, 1, 3, 2), "L2": (1, 0, 1, 0)}
+
+
+@pytest.fixture(scope="module")
+def profile(spark):
+    rows = [
+        ("M1", "a", 1.0, 0.5, 6.5),
+        ("M1", "b", 2.0, 0.5, 3.0),
+        ("M1", "c", 3.0, 0.5, 6.5),
+        ("M1", "d", 4.0, 0.5, 4.5),
+        ("M2", "a", 5.0, 0.5, 3.01),
+    ]
+    ddl = "machine_id STRING, parameter_name STRING, mean DOUBLE, stddev DOUBLE, oos_pct DOUBLE"
+    return spark.createDataFrame(rows, ddl)
+
+
+def test_watch_list(spark, profile):
+    rows = watch_list(profile).collect()
+    found = sorted((r["machine_id"], r["rank"], r["parameter_name"], r["severity"]) for r in rows)
+    assert found == [
+        ("M1", 1, "a", "high"),
+        ("M1", 2, "c", "high"),
+        ("M1", 3, "d", "medium"),
+        ("M2", 1, "a", "low"),
+    ]
+    assert watch_list(profile, top=1).count() == 2
+    only = spark.createDataFrame([("M2",)], "machine_id STRING")
+    assert [r["machine_id"] for r in watch_list(profile, only_machines=only).collect()] == ["M2"]
+
+
+def test_profile_is_not_a_mean_of_daily_rates(spark):
+    values = [("L", "M1", f"r{i}", False, "p", float(v)) for i, v in enumerate([0] * 97 + [9] * 3)]
+    row = parameter_profile(spark.createDataFrame(values, FACT)).first()
+    assert (row["total_readings"], row["out_of_spec_count"], float(row["oos_pct"])) == (100, 3, 3.0)
+
+
+@pytest.fixture(scope="module")
+def explained(spark, profile, tmp_path_factory):
+    path = tmp_path_factory.mktemp("knowledge") / "knowledge.jsonl"
+    known = {
+        "machine_id": "M1",
+        "location": "Bay 1",
+        "param_key": "c",
+        "name": "Charge",
+        "threshold": "< 3",
+        "root_cause": "Leak",
+        "parts": ["Seal (P/N: SL-1)", "Grease"],
+        "remediation": ["Open", "Replace"],
+    }
+    path.write_text(json.dumps(known))
+    return explain_findings(watch_list(profile), read_knowledge(spark, str(path)))
+
+
+def test_unknown_parameters_stay(explained):
+    assert explained.count() == 4
+    assert explained.filter("root_cause IS NOT NULL").count() == 1
+
+
+def test_parts_and_steps(explained):
+    parts = sorted(tuple(r)[2:] for r in parts_list(explained).collect())
+    assert parts == [("Grease", None), ("Seal", "SL-1")]
+    steps = sorted(tuple(r)[2:] for r in remediation_steps(explained).collect())
+    assert steps == [(1, "Open"), (2, "Replace")]
+
+
+def test_report(spark, explained):
+    machines = [("M1", "Press", "final_test", "L1"), ("M2", "Press", "final_test", "L1")]
+    lines = [("L1", "Line 1", "Filters", 1.0, 2.0, 1.0)]
+    reports = assemble_reports(
+        explained,
+        spark.createDataFrame(machines, MACHINE_SCHEMA),
+        spark.createDataFrame(lines, LINE_SCHEMA),
+        F.lit(date(2026, 3, 4)),
+    )
+    rows = {r["machine_id"]: r for r in reports.collect()}
+    assert set(rows) == {"M1", "M2"}
+    assert rows["M1"]["finding_count"] == 3 and rows["M1"]["location"] == "Bay 1"
+    assert [f["parameter_name"] for f in rows["M1"]["findings"]] == ["a", "c", "d"]
+    assert rows["M1"]["body"] == "\n".join(
+        [
+            "MAINTENANCE & REMEDIATION REPORT",
+            "Machine ID: M1",
+            "Location: Bay 1",
+            "Machine Type: Press",
+            "Line: L1 (Filters)",
+            "Process Stage: Final Test",
+            "Report Date: 2026-03-04",
+            "Parameters: 3 parameters with anomalies detected",
+            "ANOMALY SUMMARY",
+            "a | 1.0 | 0.5 | 6.5% | high",
+            "Charge | 3.0 | 0.5 | 6.5% | high | < 3",
+            "d | 4.0 | 0.5 | 4.5% | medium",
+            "1. a (a)",
+            "2. Charge (c)",
+            "Root Cause Analysis",
+            "Leak",
+            "Parts Required",
+            "  Seal (P/N: SL-1)",
+            "  Grease",
+            "Remediation Steps",
+            "  1. Open",
+            "  2. Replace",
+            "3. d (d)",
+        ]
+    )
+    assert "Location" not in rows["M2"]["body"]
