@@ -45,6 +45,18 @@ VIEWS = {
 }
 
 
+# Spark keeps no comment with a temporary view, so they are kept here.
+COMMENTS = {
+    "mv_anomaly_rate": "Flagged share of readings per line, machine and hour",
+    "mv_vibration_trend": "Hourly vibration per machine; a rise points to wear",
+    "mv_parameter_stability": "Hourly coefficient of variation per machine and parameter",
+    "mv_process_stage_anomaly_rate": "Flagged share of readings per stage category and day",
+    "mv_power_consumption": "Hourly power per machine; a drift points to trouble",
+    "mv_hourly_anomaly_heatmap": "Flagged readings per line, hour and shift",
+    "mv_parameter_out_of_spec": "Daily share of values beyond two deviations of their series",
+}
+
+
 def kpi(spark: SparkSession, lake: str, name: str, stats: DataFrame | None = None) -> DataFrame:
     """One KPI of a lake. Without `stats` those it needs are taken from the fact right away."""
     fact = read_table(spark, lake, schemas.FACT)
@@ -55,8 +67,17 @@ def create_views(spark: SparkSession, lake: str) -> list[str]:
     """Create or replace all seven as temporary views for `spark.sql`.
 
     The fact is not read here: the out-of-spec view uses the stored statistics of the series.
+    A view reads the files that were there when it was created, so create them again after an
+    increment.
     """
     stats = varying(read_table(spark, lake, schemas.STATS))
     for name in VIEWS:
         kpi(spark, lake, name, stats).createOrReplaceTempView(name)
     return list(VIEWS)
+
+
+def open_lake(spark: SparkSession, lake: str) -> list[str]:
+    """Stored tables and KPIs by name, for queries in SQL over a lake written earlier."""
+    for spec in schemas.TABLES:
+        read_table(spark, lake, spec).createOrReplaceTempView(spec.name)
+    return [spec.name for spec in schemas.TABLES] + create_views(spark, lake)

@@ -90,7 +90,7 @@ def incremental_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def existing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A backlog of files, worked off in micro-batches of three files."""
-    lines = _bronze(spark, sf_dir, max_files_per_trigger=3)
+    lines = _bronze(spark, sf_dir, max_files=3)
     return lines.groupBy(_delivery()).agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -338,7 +338,7 @@ def expectations_in_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters observed batch by batch, beside those of the table they were observed on."""
     lake = shared_dir(spark, "lake")
     path = landing(spark, sf_dir)
-    counts = ingest(spark, path, lake, max_files_per_trigger=4)[schemas.FACT.name]
+    counts = ingest(spark, path, lake, max_files=4)[schemas.FACT.name]
     rows = counts.pop("rows")
     observed = spark.createDataFrame(
         [("observed", rows, sum(counts.values()))], "source STRING, rows BIGINT, failed BIGINT"

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # The file source forgets files older than this, counted from the newest one. The default of a
 # week would skip files that arrive late with an old modification time.
 REMEMBER_FILES_FOR = "3650d"
+# A micro-batch takes about this much unless told otherwise.
+BATCH_BYTES = 1 << 40
 
 
 def bronze_columns() -> list[Column]:
@@ -33,22 +35,28 @@ def read_lines(spark: SparkSession, path: str, path_glob: str | None = None) ->
     return spark.read.options(**_scan_options(path_glob)).text(path).select(*bronze_columns())
 
 
+def bounded(reader, max_files: int | None, max_bytes: int | None):
+    """Bound a micro-batch by files or by bytes, so that a large backlog becomes several.
+
+    A failed micro-batch is done again as a whole, which is cheap only if it is not all of it.
+    """
+    if max_files and max_bytes:
+        raise ValueError("bound a micro-batch by files or by bytes, not both")
+    if max_files:
+        return reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("maxBytesPerTrigger", max_bytes or BATCH_BYTES)
+
+
 def stream_lines(
     spark: SparkSession,
     path: str,
     path_glob: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """As `read_lines`, taking each file once: those already there first, then new ones.
-
-    `max_files_per_trigger` bounds a micro-batch; a backlog is then worked off in several.
-    """
-    reader = spark.readStream.options(
-        **_scan_options(path_glob), maxFileAge=REMEMBER_FILES_FOR
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.text(path).select(*bronze_columns())
+    """As `read_lines`, taking each file once: those already there first, then new ones."""
+    reader = spark.readStream.options(**_scan_options(path_glob), maxFileAge=REMEMBER_FILES_FOR)
+    return bounded(reader, max_files, max_bytes).text(path).select(*bronze_columns())
 
 
 def read_json_inferred(spark: SparkSession, path: str, path_glob: str | None = None) -> DataFrame:

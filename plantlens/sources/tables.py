@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from plantlens.schemas import TableSpec
-from plantlens.sources.landing import REMEMBER_FILES_FOR
+from plantlens.sources.landing import REMEMBER_FILES_FOR, bounded
 
 
 def table_path(lake: str, spec: TableSpec) -> str:
@@ -24,24 +24,33 @@ def read_table(spark: SparkSession, lake: str, spec: TableSpec) -> DataFrame:
 
 
 def stream_table(
-    spark: SparkSession, lake: str, spec: TableSpec, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    lake: str,
+    spec: TableSpec,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Rows appended to a table since the reader's checkpoint."""
     reader = spark.readStream.schema(spec.schema).option("maxFileAge", REMEMBER_FILES_FOR)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(table_path(lake, spec)).select(*spec.schema.names)
+    rows = bounded(reader, max_files, max_bytes).parquet(table_path(lake, spec))
+    return rows.select(*spec.schema.names)
 
 
-def append_stream(df: DataFrame, lake: str, spec: TableSpec) -> StreamingQuery:
-    """Append what has arrived to a table, then stop; progress is kept beside the lake."""
+def append_stream(
+    df: DataFrame, lake: str, spec: TableSpec, every: str | None = None
+) -> StreamingQuery:
+    """Append what has arrived to a table; progress is kept in a checkpoint of the lake.
+
+    Without `every` the query takes what is there and stops. With it, for instance
+    "5 seconds", it goes on until it is stopped.
+    """
     writer = (
         df.writeStream.format("parquet")
         .outputMode("append")
         .queryName(spec.name)
         .option("checkpointLocation", checkpoint_path(lake, spec))
-        .trigger(availableNow=True)
     )
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
     return writer.start(table_path(lake, spec))

@@ -17,7 +17,7 @@ from plantlens.operators.dimensions import Dimensions, build_dimensions
 from plantlens.operators.out_of_spec import parameter_stats
 from plantlens.operators.parse import fact_rows, parse_lines
 from plantlens.operators.quality import expectation_report, observe_expectations
-from plantlens.plans.views import create_views
+from plantlens.plans.views import open_lake
 from plantlens.sources.landing import stream_lines
 from plantlens.sources.tables import (
     append_stream,
@@ -34,24 +34,26 @@ def start_bronze(
     landing: str,
     lake: str,
     path_glob: str | None = None,
-    max_files_per_trigger: int | None = None,
+    every: str | None = None,
+    **bounds,
 ) -> StreamingQuery:
-    lines = stream_lines(spark, landing, path_glob, max_files_per_trigger)
-    return append_stream(lines, lake, schemas.BRONZE)
+    """`bounds` are `max_files` or `max_bytes` of a micro-batch, here and below."""
+    lines = stream_lines(spark, landing, path_glob, **bounds)
+    return append_stream(lines, lake, schemas.BRONZE, every)
 
 
 def start_silver(
-    spark: SparkSession, lake: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, lake: str, every: str | None = None, **bounds
 ) -> StreamingQuery:
-    bronze = stream_table(spark, lake, schemas.BRONZE, max_files_per_trigger)
-    return append_stream(_observed(parse_lines(bronze), schemas.SILVER), lake, schemas.SILVER)
+    readings = parse_lines(stream_table(spark, lake, schemas.BRONZE, **bounds))
+    return append_stream(_observed(readings, schemas.SILVER), lake, schemas.SILVER, every)
 
 
 def start_fact(
-    spark: SparkSession, lake: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, lake: str, every: str | None = None, **bounds
 ) -> StreamingQuery:
-    silver = stream_table(spark, lake, schemas.SILVER, max_files_per_trigger)
-    return append_stream(_observed(fact_rows(silver), schemas.FACT), lake, schemas.FACT)
+    rows = fact_rows(stream_table(spark, lake, schemas.SILVER, **bounds))
+    return append_stream(_observed(rows, schemas.FACT), lake, schemas.FACT, every)
 
 
 def _observed(df: DataFrame, spec: schemas.TableSpec) -> DataFrame:
@@ -77,23 +79,39 @@ def finish(query: StreamingQuery, poll_seconds: float = 0.5) -> Counts:
 
 
 def ingest(
-    spark: SparkSession,
-    landing: str,
-    lake: str,
-    path_glob: str | None = None,
-    max_files_per_trigger: int | None = None,
+    spark: SparkSession, landing: str, lake: str, path_glob: str | None = None, **bounds
 ) -> dict[str, Counts]:
     """Take one increment through all three tables.
 
     Returns, for silver and fact, the rows appended and the rows that failed each expectation.
     """
-    finish(start_bronze(spark, landing, lake, path_glob, max_files_per_trigger))
+    finish(start_bronze(spark, landing, lake, path_glob, **bounds))
     return {
-        schemas.SILVER.name: finish(start_silver(spark, lake, max_files_per_trigger)),
-        schemas.FACT.name: finish(start_fact(spark, lake, max_files_per_trigger)),
+        schemas.SILVER.name: finish(start_silver(spark, lake, **bounds)),
+        schemas.FACT.name: finish(start_fact(spark, lake, **bounds)),
     }
 
 
+def follow(
+    spark: SparkSession,
+    landing: str,
+    lake: str,
+    path_glob: str | None = None,
+    every: str = "5 seconds",
+    **bounds,
+) -> list[StreamingQuery]:
+    """Keep all three tables up to date until the returned queries are stopped.
+
+    The backlog is taken first, which also makes sure that each step finds the table it reads.
+    """
+    ingest(spark, landing, lake, path_glob, **bounds)
+    return [
+        start_bronze(spark, landing, lake, path_glob, every, **bounds),
+        start_silver(spark, lake, every, **bounds),
+        start_fact(spark, lake, every, **bounds),
+    ]
+
+
 def refresh_dimensions(spark: SparkSession, lake: str) -> Dimensions:
     """Recompute the four dimensions from all of silver, which is scanned once."""
     dims = build_dimensions(read_table(spark, lake, schemas.SILVER), store=True)
@@ -121,7 +139,7 @@ def run(spark: SparkSession, landing: str, lake: str, **options) -> dict[str, Co
     counts = ingest(spark, landing, lake, **options)
     refresh_dimensions(spark, lake)
     refresh_statistics(spark, lake)
-    create_views(spark, lake)
+    open_lake(spark, lake)
     return counts
 
 
