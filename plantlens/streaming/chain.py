@@ -131,15 +131,21 @@ def refresh_statistics(spark: SparkSession, lake: str) -> None:
     overwrite_table(stats, lake, schemas.STATS)
 
 
-def run(spark: SparkSession, landing: str, lake: str, **options) -> dict[str, Counts]:
-    """One increment, then dimensions and statistics, then views.
+def refresh(spark: SparkSession, lake: str) -> None:
+    """Bring dimensions, statistics and views up to the state of silver and fact.
 
-    Dimensions follow the fact, since the KPIs drop fact rows whose dimension row is missing.
+    This follows the fact, since the KPIs drop fact rows whose dimension row is missing. Beside
+    `follow` it is called as often as the KPIs are to be current.
     """
-    counts = ingest(spark, landing, lake, **options)
     refresh_dimensions(spark, lake)
     refresh_statistics(spark, lake)
     open_lake(spark, lake)
+
+
+def run(spark: SparkSession, landing: str, lake: str, **options) -> dict[str, Counts]:
+    """One increment, then a refresh. Returns the counters of `ingest`."""
+    counts = ingest(spark, landing, lake, **options)
+    refresh(spark, lake)
     return counts
 
 
