@@ -13,16 +13,18 @@ SERIES = ["machine_id", "parameter_name"]
 
 
 def parameter_stats(fact: DataFrame) -> DataFrame:
-    """Mean and sample deviation per machine and parameter, over all days."""
+    """Mean, sample deviation and rows per machine and parameter, over all days."""
     value = F.col("parameter_value")
     return fact.groupBy(*SERIES).agg(
-        F.avg(value).alias("overall_mean"), F.stddev_samp(value).alias("overall_stddev")
+        F.avg(value).alias("overall_mean"),
+        F.stddev_samp(value).alias("overall_stddev"),
+        F.count(F.lit(1)).alias("series_rows"),
     )
 
 
 def varying(stats: DataFrame) -> DataFrame:
-    """Series that vary at all; a single value or a constant has no limits."""
-    return stats.filter("overall_stddev > 0")
+    """Mean and deviation of series that vary; a single value or a constant has no limits."""
+    return stats.filter("overall_stddev > 0").select(*SERIES, "overall_mean", "overall_stddev")
 
 
 def flag_out_of_spec(fact: DataFrame, stats: DataFrame | None = None, **join_options) -> DataFrame:

@@ -116,6 +116,7 @@ STATS_SCHEMA = _struct(
     parameter_name=STRING,
     overall_mean=DOUBLE,
     overall_stddev=DOUBLE,
+    series_rows=BIGINT,
 )
 
 LIMITS_SCHEMA = _struct(
