@@ -12,6 +12,7 @@ from plantlens.schemas import KNOWLEDGE_SCHEMA
 PART_NUMBER = r"\(P/N: ([^)]+)\)"
 # Headings of a report, in their order.
 TITLE = "MAINTENANCE & REMEDIATION REPORT"
+FOUND = " parameters with anomalies detected"
 SUMMARY = "ANOMALY SUMMARY"
 CAUSE = "Root Cause Analysis"
 PARTS = "Parts Required"
@@ -24,7 +25,7 @@ def read_knowledge(spark: SparkSession, path: str) -> DataFrame:
 
 
 def explain_findings(findings: DataFrame, knowledge: DataFrame, **join_options) -> DataFrame:
-    """Findings with cause, threshold text, parts and steps; unknown parameters stay, unexplained."""
+    """Findings with cause, threshold text, parts and steps; unknown parameters stay without."""
     known = knowledge.withColumnRenamed("param_key", "parameter_name")
     return lookup_join(findings, known, ["machine_id", "parameter_name"], "left", **join_options)
 
@@ -126,7 +127,7 @@ def assemble_reports(
     )
     findings = F.col("findings")
     count = F.size(findings)
-    headed = headed.withColumn("finding_count", count)
+    stage = F.initcap(F.replace(F.col("process_stage"), F.lit("_"), F.lit(" ")))
     report_day = (F.lit(None) if report_date is None else report_date).cast("string")
 
     def field(label: str, value: Column) -> Column:
@@ -139,12 +140,9 @@ def assemble_reports(
         field("Location", F.col("location")),
         field("Machine Type", F.col("machine_type")),
         field("Line", F.concat(F.col("line_id"), F.lit(" ("), F.col("product_type"), F.lit(")"))),
-        field("Process Stage", F.initcap(F.replace(F.col("process_stage"), F.lit("_"), F.lit(" ")))),
+        field("Process Stage", stage),
         field("Report Date", report_day),
-        field(
-            "Parameters",
-            F.concat(F.col("finding_count").cast("string"), F.lit(" parameters with anomalies detected")),
-        ),
+        field("Parameters", F.concat(count.cast("string"), F.lit(FOUND))),
         F.lit(SUMMARY),
         F.array_join(F.transform(findings, _summary_row), "\n"),
         F.array_join(F.transform(findings, _section), "\n"),
@@ -157,7 +155,7 @@ def assemble_reports(
         "product_type",
         "process_stage",
         "location",
-        "finding_count",
+        count.alias("finding_count"),
         "findings",
         body.alias("body"),
     )

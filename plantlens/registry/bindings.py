@@ -153,7 +153,10 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("event_type") == "signup",
             F.regexp_replace(line, '"timestamp":"[^"]*"', '"timestamp":"not a time"'),
         )
-        .when(F.col("event_type") == "purchase", F.regexp_replace(line, '"machine_id":"[^"]*",', ""))
+        .when(
+            F.col("event_type") == "purchase",
+            F.regexp_replace(line, '"machine_id":"[^"]*",', ""),
+        )
         .when(
             F.col("event_type") == "view",
             F.regexp_replace(line, '"vibration_mm_s_rms":[^,}]*', '"vibration_mm_s_rms":null'),

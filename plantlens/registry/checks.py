@@ -96,7 +96,10 @@ FACT_REPORT_SQL = " UNION ALL ".join(
 )
 
 
-@query("dq_07_expectation_report", f"{DAMAGED_FACT} {SILVER_REPORT_SQL} UNION ALL {FACT_REPORT_SQL}")
+@query(
+    "dq_07_expectation_report",
+    f"{DAMAGED_FACT} {SILVER_REPORT_SQL} UNION ALL {FACT_REPORT_SQL}",
+)
 def full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = parse_lines(damaged_lines(spark, sf_dir))
     return expectation_report(readings, SILVER.expectations).unionByName(

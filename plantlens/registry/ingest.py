@@ -96,7 +96,8 @@ def existing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "src_03_recursive_path",
-    f"{WITH} SELECT {DELIVERY_SQL} AS delivery, line_id, count(*) AS lines FROM silver GROUP BY ALL",
+    f"""{WITH} SELECT {DELIVERY_SQL} AS delivery, line_id, count(*) AS lines
+    FROM silver GROUP BY ALL""",
 )
 def recursive_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _bronze(spark, sf_dir, path_glob="*.txt")
@@ -256,7 +257,8 @@ def comments_and_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = []
     for spec in (schemas.DIM_MACHINE, schemas.DIM_LINE, schemas.SILVER):
         name = register_table(spark, lake, spec, database)
-        properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        shown = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+        properties = {row["key"]: row["value"] for row in shown}
         comment = spark.catalog.getTable(name).description
         described.append(
             spark.table(name)

@@ -46,8 +46,8 @@ def limit_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "ra_01b_violating_rows",
-    f"""{WITH} SELECT record_id, parameter_name, CASE WHEN {HIGH} THEN 'high' ELSE 'low' END AS side
-    FROM fact WHERE {HIGH} OR {LOW}""",
+    f"""{WITH} SELECT record_id, parameter_name,
+    CASE WHEN {HIGH} THEN 'high' ELSE 'low' END AS side FROM fact WHERE {HIGH} OR {LOW}""",
 )
 def violating_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = check_limits(fact(spark, sf_dir), limits(spark))
@@ -180,7 +180,9 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     # The sections follow the summary, which has one line per finding.
-    after_summary = F.concat(F.lit(r"(?s)^.*?ANOMALY SUMMARY\n(?:[^\n]*\n){"), F.size("findings"), F.lit("}"))
+    before_sections = F.concat(
+        F.lit(r"(?s)^.*?ANOMALY SUMMARY\n(?:[^\n]*\n){"), F.size("findings"), F.lit("}")
+    )
     return assembled.select(
         "machine_id",
         "finding_count",
@@ -188,7 +190,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         "machine_type",
         "line_id",
         F.array_join(line, "\n").alias("summary"),
-        F.regexp_replace("body", after_summary, F.lit("")).alias("details"),
+        F.regexp_replace("body", before_sections, F.lit("")).alias("details"),
     )
 
 

@@ -47,9 +47,9 @@ def add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     width = measures.bandwidth(
         F.col("target_frequency_band_ghz_max"), F.col("target_frequency_band_ghz_min")
     )
-    return silver(spark, sf_dir).select(
-        "record_id", "line_id", "target_frequency_band_ghz_max", "target_frequency_band_ghz_min"
-    ).withColumn("bandwidth", width).select("record_id", "line_id", "bandwidth")
+    return silver(spark, sf_dir).withColumn("bandwidth", width).select(
+        "record_id", "line_id", "bandwidth"
+    )
 
 
 @query(
@@ -137,7 +137,10 @@ def date_key_and_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_readings(silver(spark, sf_dir)).select("record_id", "date_key", "hour_of_day")
 
 
-@query("prj_13_map_explode", f"{WITH} SELECT record_id, parameter_name, parameter_value FROM fact")
+@query(
+    "prj_13_map_explode",
+    f"{WITH} SELECT record_id, parameter_name, parameter_value FROM fact",
+)
 def map_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).select(
         "record_id", F.explode("telemetry").alias("parameter_name", "parameter_value")
@@ -188,7 +191,10 @@ def flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).filter("is_anomaly").select("record_id", "machine_id")
 
 
-@query("flt_04b_flagged_machines", f"{WITH} SELECT DISTINCT machine_id FROM silver WHERE is_anomaly")
+@query(
+    "flt_04b_flagged_machines",
+    f"{WITH} SELECT DISTINCT machine_id FROM silver WHERE is_anomaly",
+)
 def machines_with_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged_machines(silver(spark, sf_dir))
 
@@ -198,7 +204,8 @@ def machines_with_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{WITH} SELECT record_id FROM silver WHERE dayofweek(event_timestamp) + 1 IN (1, 7)",
 )
 def in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(spark, sf_dir).filter(F.dayofweek("event_timestamp").isin(1, 7)).select("record_id")
+    weekend_day = F.dayofweek("event_timestamp").isin(1, 7)
+    return silver(spark, sf_dir).filter(weekend_day).select("record_id")
 
 
 @query(
