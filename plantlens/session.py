@@ -34,6 +34,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Refuse to write or read day and hour columns under another time zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        raise ValueError(f"the session time zone is {zone}, not UTC; see session.use_utc")
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder under `spark.checkpoint.dir`, the folder all executors can reach.
 

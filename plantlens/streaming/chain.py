@@ -18,6 +18,7 @@ from plantlens.operators.out_of_spec import parameter_stats
 from plantlens.operators.parse import fact_rows, parse_lines
 from plantlens.operators.quality import expectation_report, observe_expectations
 from plantlens.plans.views import open_lake
+from plantlens.session import require_utc
 from plantlens.sources.landing import stream_lines
 from plantlens.sources.tables import (
     append_stream,
@@ -85,6 +86,7 @@ def ingest(
 
     Returns, for silver and fact, the rows appended and the rows that failed each expectation.
     """
+    require_utc(spark)
     finish(start_bronze(spark, landing, lake, path_glob, **bounds))
     return {
         schemas.SILVER.name: finish(start_silver(spark, lake, **bounds)),
@@ -137,6 +139,7 @@ def refresh(spark: SparkSession, lake: str) -> None:
     This follows the fact, since the KPIs drop fact rows whose dimension row is missing. Beside
     `follow` it is called as often as the KPIs are to be current.
     """
+    require_utc(spark)
     refresh_dimensions(spark, lake)
     refresh_statistics(spark, lake)
     open_lake(spark, lake)

@@ -5,7 +5,8 @@ from types import SimpleNamespace
 import __spark_entry__ as entry_point
 import pytest
 
-from plantlens.session import materialize, shared_dir
+from plantlens.session import materialize, shared_dir, use_utc
+from plantlens.streaming.chain import ingest
 
 # Queries that write and read tables of their own are left out; their parts are in the others.
 PLANNED = [n for n in entry_point.queries() if n.split("_")[0] in ("dp", "ra", "jn", "agg")]
@@ -26,6 +27,15 @@ def test_a_cluster_must_name_its_folder():
         shared_dir(session, "x")
 
 
+def test_other_time_zones_are_refused(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError):
+            ingest(spark, str(tmp_path), str(tmp_path / "lake"))
+    finally:
+        use_utc(spark)
+
+
 def test_stored_frames_forget_their_lineage(spark):
     stored = materialize(spark.range(10).selectExpr("sum(id) AS total"))
     text = stored._jdf.queryExecution().optimizedPlan().toString()
