@@ -41,6 +41,9 @@ def watch_list(
 ) -> DataFrame:
     """Findings above `min_pct`, ranked per machine from the worst, with their severity.
 
+    The profile has one row per parameter of a machine, so a ranking sorts the parameter set of a
+    machine, not its readings.
+
     `top` keeps that many per machine. `only_machines` restricts the list, for instance to
     `flagged_machines`, since ordinary noise alone takes about 4.5 % of values out of spec.
     """
