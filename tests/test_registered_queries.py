@@ -4,8 +4,8 @@ import __spark_entry__ as entry_point
 import pytest
 from compare import duckdb_views, spark_rows, sql_rows
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = {name: entry_point.queries()[name] for name in entry_point.LIBRARY_QUERIES}
+SQL = {name: sql for name, sql in entry_point.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
