@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import line_dedup, simhash
+from plantlens.llm import decontaminate, line_dedup, quality_rules, simhash
 from plantlens.llm.common import table
 from plantlens.registry.core import Query
 from plantlens.session import use_utc
@@ -53,3 +53,65 @@ def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs, keep=False)
     digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+DECONTAMINATE_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS size,
+         array_to_string(list_slice(w, i, i + least(13, len(w)) - 1), ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 11))) AS i FROM item_words
+        WHERE len(w) > 0)),
+doc_windows AS (
+  SELECT doc_id, i, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS words
+  FROM (SELECT d.doc_id, d.w, s.size, unnest(range(1, greatest(1, len(d.w) - s.size + 2))) AS i
+        FROM doc_words d, (SELECT DISTINCT size FROM windows) s)),
+found AS (SELECT doc_id, i, size, item_id FROM doc_windows JOIN windows USING (size, words)),
+hit AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op7_decontaminate", DECONTAMINATE_SQL)
+def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"), keep=False)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
+@query("op6_quality_rules")
+def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality_rules.learn(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, rules, keep=False).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
