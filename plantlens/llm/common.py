@@ -29,7 +29,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def stored_bytes(df: DataFrame) -> int:
     """Spark's size of a stored frame, from its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def without(df: DataFrame, names: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import decontaminate, line_dedup, quality_rules, simhash
+from plantlens.llm import decontaminate, line_dedup, mixing, preference, quality_rules, simhash
 from plantlens.llm.common import table
 from plantlens.registry.core import Query
 from plantlens.session import use_utc
@@ -115,3 +115,72 @@ def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+MIX_POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
+
+
+@query("op8_mixing")
+def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mixing.mix(docs, MIX_POWERS)
+    return mixed.select(
+        "doc_id", "source", "lang", "topic", "n_tokens", "probability", "n_copies"
+    )
+
+
+PREFERENCE_SQL = r"""
+WITH said AS (
+  SELECT conv_id, turn,
+         min(struct_pack(role := coalesce(role, ''), said := coalesce(text, ''))) AS t
+  FROM conversations GROUP BY conv_id, turn),
+spoken AS (SELECT conv_id, list(t ORDER BY turn) AS turns FROM said GROUP BY conv_id),
+known AS (
+  SELECT *, coalesce(list_max(list_filter(range(1, len(turns) + 1),
+                                          lambda i: turns[i].role = 'assistant')), 0) AS last
+  FROM spoken),
+pairs AS (
+  SELECT k.conv_id, k.turns AS chosen,
+         CASE WHEN k.last > 0 THEN list_append(k.turns[1:k.last - 1],
+           struct_pack(role := 'assistant', said := coalesce(d.turns[d.last].said, '')))
+         ELSE k.turns END AS rejected
+  FROM known k LEFT JOIN known d ON d.conv_id = k.conv_id + 1 AND d.last > 0),
+cut AS (
+  SELECT *, coalesce(list_filter(range(1, least(len(chosen), len(rejected)) + 1),
+                                 lambda i: chosen[i] <> rejected[i])[1] - 1,
+                     least(len(chosen), len(rejected))) AS n FROM pairs),
+texts AS (
+  SELECT conv_id, n,
+    list_transform(chosen[1:n], lambda t: '<|im_start|>' || t.role || chr(10) || t.said || '<|im_end|>' || chr(10)) AS p,
+    chosen[n + 1:] AS c, rejected[n + 1:] AS r,
+    list_transform(chosen[n + 1:], lambda t: '<|im_start|>' || t.role || chr(10) || t.said || '<|im_end|>' || chr(10)) AS cr,
+    list_transform(rejected[n + 1:], lambda t: '<|im_start|>' || t.role || chr(10) || t.said || '<|im_end|>' || chr(10)) AS rr
+  FROM cut)
+SELECT conv_id, CAST(n AS INTEGER) AS n_prompt_turns, len(c) > 0 OR len(r) > 0 AS differs,
+  coalesce(array_to_string(p, ''), '') AS prompt,
+  coalesce(array_to_string(cr, ''), '') AS chosen, coalesce(array_to_string(rr, ''), '') AS rejected,
+  coalesce(array_to_string(list_transform(
+    list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant'),
+    lambda i: (length(array_to_string(cr[1:i - 1], '')) + 13 + length(c[i].role)) || ':' ||
+              length(array_to_string(cr[1:i], ''))), ','), '') AS chosen_loss,
+  coalesce(array_to_string(list_transform(
+    list_filter(range(1, len(r) + 1), lambda i: r[i].role = 'assistant'),
+    lambda i: (length(array_to_string(rr[1:i - 1], '')) + 13 + length(r[i].role)) || ':' ||
+              length(array_to_string(rr[1:i], ''))), ','), '') AS rejected_loss
+FROM texts
+"""
+
+
+@query("op10_preference", PREFERENCE_SQL)
+def preference_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spoken = preference.conversations(table(spark, sf_dir, "conversations"))
+    formatted = preference.format_pairs(preference.swapped_replies(spoken))
+
+    def listed(spans: str):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ","
+        )
+
+    return formatted.withColumns(
+        {name: listed(name) for name in ("chosen_loss", "rejected_loss")}
+    )
