@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import decontaminate, line_dedup, mixing, preference, quality_rules, simhash
+from plantlens.llm import (
+    decontaminate,
+    line_dedup,
+    mixing,
+    preference,
+    quality_rules,
+    simhash,
+    toxicity,
+)
 from plantlens.llm.common import table
 from plantlens.registry.core import Query
 from plantlens.session import use_utc
@@ -184,3 +192,11 @@ def preference_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted.withColumns(
         {name: listed(name) for name in ("chosen_loss", "rejected_loss")}
     )
+
+
+@query("op3_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, keep=False)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
