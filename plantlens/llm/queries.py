@@ -11,6 +11,7 @@ from plantlens.llm import (
     mixing,
     preference,
     quality_rules,
+    sanitise,
     simhash,
     toxicity,
 )
@@ -200,3 +201,16 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model, keep=False)
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op5_sanitise")
+def sanitise_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sanitise.find_spans(docs)
+    base = list(sanitise.KINDS)
+    return found.select(
+        "doc_id",
+        *(F.size(f"{kind}_spans").cast("long").alias(f"n_{kind}") for kind in base),
+        F.sha2(sanitise.span_list(base), 256).alias("base_sha256"),
+        sanitise.span_list([*base, "term"]).alias("spans"),
+    )
