@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plantlens.llm import (
     decontaminate,
+    html_template,
     line_dedup,
     mixing,
     preference,
@@ -14,6 +15,7 @@ from plantlens.llm import (
     sanitise,
     simhash,
     toxicity,
+    warc_zip,
 )
 from plantlens.llm.common import table
 from plantlens.registry.core import Query
@@ -214,3 +216,39 @@ def sanitise_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(sanitise.span_list(base), 256).alias("base_sha256"),
         sanitise.span_list([*base, "term"]).alias("spans"),
     )
+
+
+WARC_SQL = r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+marked AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS original FROM payloads),
+bits AS (
+  SELECT page_id, original, strlen(payload) AS payload_bytes,
+    list_transform(range(0, 8), lambda g: list_transform(range(0, 5), lambda b:
+      ('0x' || substr(h, CAST(1 + 5 * g + b AS INTEGER), 1))::INTEGER)) AS groups
+  FROM marked),
+numbers AS (
+  SELECT page_id, original, payload_bytes, list_transform(groups, lambda g:
+    (g[1] * 65536 + g[2] * 4096 + g[3] * 256 + g[4] * 16 + g[5])::BIGINT) AS twenty FROM bits)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(twenty, lambda n: array_to_string(list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((n >> s) & 31) AS INTEGER), 1)),
+    '')), '') AS payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = original THEN NULL ELSE original END AS refers_to
+FROM numbers
+"""
+
+
+@query("op2_warc", WARC_SQL)
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc_zip.write_archives(table(spark, sf_dir, "pages"))
+    return warc_zip.read_archives(manifest, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query("op9_html_template")
+def html_template_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_template.extract(pages).select("page_id", "url", "text", "n_chars")
