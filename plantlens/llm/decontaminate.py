@@ -257,9 +257,12 @@ def find_passages(
 def _search(docs: DataFrame, phrases: Phrases, text: str, first: bool) -> DataFrame:
     names = [field.name for field in FIELDS]
     base = without(docs, names)
-    source = base.withColumn("_bytes", F.col(f"`{text}`").cast("binary"))
-    if not first:
-        source = source.withColumns({f"_{n}": docs[n] for n in ("item_ids", "removal_spans")})
+    before = [] if first else ["item_ids", "removal_spans"]
+    source = docs.select(
+        *(F.col(f"`{c}`") for c in base.columns),
+        F.col(f"`{text}`").cast("binary").alias("_bytes"),
+        *(F.col(c).alias(f"_{c}") for c in before),
+    )
     schema = T.StructType([*base.schema.fields, *FIELDS])
     arrow = to_arrow_schema(schema)
     kinds = [arrow.field(name).type for name in names]

@@ -44,7 +44,8 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
+    r"|<(/?)([A-Za-z][^\s/>]*)([^>]*+)(?:>|\Z)",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -144,10 +145,12 @@ def events(page: str) -> Iterator[tuple[str, Element, str]]:
         if less > at:
             yield "text", stack[-1], page[at:less]
         at = token.end()
-        if token.group(2) is None:
+        # A tag with an odd quote is in the last three groups.
+        slash, name, rest = token.groups()[:3] if token.group(2) else token.groups()[3:]
+        if name is None:
             continue
-        tag = token.group(2).lower()
-        if token.group(1):
+        tag = name.lower()
+        if slash:
             if tag == "br":
                 yield "break", stack[-1], ""
             close(stack, tag)
@@ -159,18 +162,18 @@ def events(page: str) -> Iterator[tuple[str, Element, str]]:
             yield "break", stack[-1], ""
         if tag in VOID:
             continue
-        own = attributes(token.group(3))
+        own = attributes(rest)
         above = stack[-1]
         if tag in RAW:
             closing = RAW_END[tag].search(page, at)
             at = closing.end() if closing else end
             continue
-        if token.group(3).endswith("/") and tag not in ("a", "p", "div", "span"):
+        if rest.endswith("/") and tag not in ("a", "p", "div", "span"):
             continue
-        name = f"{tag}.{own.get('class', '')}#{own.get('id', '')}" if own else tag
+        marked = f"{tag}.{own.get('class', '')}#{own.get('id', '')}" if own else tag
         element = Element(
             tag,
-            hash_of(above.path, name),
+            hash_of(above.path, marked),
             above.path,
             above.dropped or is_dropped(tag, own, bool(above.main)),
             above.main,

@@ -22,6 +22,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantlens.llm.common import map_texts, slices, stored, without
+from plantlens.llm.common import map_texts, slices, without
+from plantlens.session import shared_dir
 
 BITS = 20
 SAMPLE_ROWS = 24_000
@@ -148,17 +150,25 @@ def train(
     sample = training_rows(docs, labels, doc_id, text, label, rows).mapInArrow(
         featurise, "at array<int>, label int, place long"
     )
-    features = stored(sample, "features")
-    dealt = features.repartition(SHARDS, F.pmod("place", F.lit(SHARDS))).sortWithinPartitions("place")
+    shard = F.pmod("place", F.lit(SHARDS)).cast("int").alias("shard")
+    folder = shared_dir(docs.sparkSession, "features")
+    dealt = sample.select("*", shard).repartition(SHARDS, "shard")
+    dealt.sortWithinPartitions("shard", "place").write.partitionBy("shard").parquet(folder)
+    reader = docs.sparkSession.read.schema("at array<int>, label int, place long, shard int")
+    # One partition per shard without a shuffle in every round.
+    shards = [
+        reader.parquet(folder).where(F.col("shard") == k).drop("shard").coalesce(1)
+        for k in range(SHARDS)
+    ]
+    dealt = reduce(DataFrame.union, shards)
     state = Ftrl.new(bits)
     sc = docs.sparkSession.sparkContext
     for _ in range(ROUNDS):
-        touched = np.flatnonzero(state.n)
-        shared = sc.broadcast((touched, state.z[touched], state.n[touched]))
+        shared = sc.broadcast(packed(state, np.flatnonzero(state.n)))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            at, z, n = shared.value
             own = Ftrl.new(bits)
+            at, z, n = unpacked(shared.value)
             own.z[at], own.n[at] = z, n
             before = own.n.copy()
             for batch in batches:
@@ -167,34 +177,44 @@ def train(
                         own.learn(found.values.to_numpy(), toxic)
             met = np.flatnonzero(own.n != before)
             if len(met):
-                kinds = (np.int32, np.float64, np.float64)
-                state = (met, own.z[met], own.n[met])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.astype(k).tobytes()]) for x, k in zip(state, kinds, strict=True)],
-                    names=["at", "z", "n"],
-                )
+                columns = [pa.array([blob], pa.binary()) for blob in packed(own, met)]
+                yield pa.RecordBatch.from_arrays(columns, names=["at", "z", "n"])
 
         told = dealt.mapInArrow(run, "at binary, z binary, n binary").collect()
-        state = average(state, [tuple(bytes(x) for x in row) for row in told])
         shared.destroy()
+        state = average(state, told)
     weights = state.weights()
     at = np.flatnonzero(weights)
     return at, weights[at]
 
 
+def packed(state: Ftrl, at: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Coordinates with their z and n, 12 bytes each."""
+    parts = (at.astype(np.int32), state.z[at].astype(np.float32), state.n[at].astype(np.float32))
+    return tuple(part.tobytes() for part in parts)
+
+
+def unpacked(blobs: tuple[bytes, bytes, bytes]) -> tuple[np.ndarray, ...]:
+    return tuple(
+        np.frombuffer(blob, kind)
+        for blob, kind in zip(blobs, (np.int32, np.float32, np.float32), strict=True)
+    )
+
+
 def average(state: Ftrl, told: list[tuple[bytes, bytes, bytes]]) -> Ftrl:
     """Mean of the tasks' states over those that met a coordinate."""
-    z, n, met = np.zeros_like(state.z), np.zeros_like(state.n), np.zeros(len(state.z))
-    for at_bytes, z_bytes, n_bytes in told:
-        at = np.frombuffer(at_bytes, np.int32)
-        z[at] += np.frombuffer(z_bytes)
-        n[at] += np.frombuffer(n_bytes)
+    z, n = np.zeros_like(state.z), np.zeros_like(state.n)
+    met = np.zeros(len(z), dtype=np.int32)
+    while told:
+        at, own_z, own_n = unpacked(told.pop())
+        z[at] += own_z
+        n[at] += own_n
         met[at] += 1
     some = met > 0
-    return Ftrl(
-        np.where(some, z / np.maximum(met, 1), state.z),
-        np.where(some, n / np.maximum(met, 1), state.n),
-    )
+    z[some] /= met[some]
+    n[some] /= met[some]
+    z[~some], n[~some] = state.z[~some], state.n[~some]
+    return Ftrl(z, n)
 
 
 def score(
