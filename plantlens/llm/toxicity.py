@@ -22,7 +22,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -150,17 +149,11 @@ def train(
     sample = training_rows(docs, labels, doc_id, text, label, rows).mapInArrow(
         featurise, "at array<int>, label int, place long"
     )
-    shard = F.pmod("place", F.lit(SHARDS)).cast("int").alias("shard")
     folder = shared_dir(docs.sparkSession, "features")
-    dealt = sample.select("*", shard).repartition(SHARDS, "shard")
-    dealt.sortWithinPartitions("shard", "place").write.partitionBy("shard").parquet(folder)
-    reader = docs.sparkSession.read.schema("at array<int>, label int, place long, shard int")
-    # One partition per shard without a shuffle in every round.
-    shards = [
-        reader.parquet(folder).where(F.col("shard") == k).drop("shard").coalesce(1)
-        for k in range(SHARDS)
-    ]
-    dealt = reduce(DataFrame.union, shards)
+    by_place = sample.repartitionByRange(SHARDS, "place").sortWithinPartitions("place")
+    by_place.write.parquet(folder)
+    # Read by the same number of tasks in every round, without a shuffle.
+    dealt = docs.sparkSession.read.schema(sample.schema).parquet(folder).coalesce(SHARDS)
     state = Ftrl.new(bits)
     sc = docs.sparkSession.sparkContext
     for _ in range(ROUNDS):
