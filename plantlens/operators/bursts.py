@@ -6,32 +6,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def anomaly_bursts(silver: DataFrame, slices: int | None = None) -> DataFrame:
+SLICE_SECONDS = 3600
+
+
+def anomaly_bursts(silver: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """(machine_id, burst_start, burst_end, readings) per run of flagged readings.
 
     Readings of a machine are ordered by event time, then record id, then flag. No task sees
-    all readings of a machine: they are cut into slices of the global order, runs are found
-    inside each slice, and those that touch the edge of a slice are joined up afterwards.
-    `slices` is the number of slices; by default the session's shuffle partitions.
+    all readings of a machine: they are cut into slices of `slice_seconds` of its time, runs are
+    found inside each slice, and those that touch the edge of a slice are joined up afterwards.
 
-    Copies of a reading are counted into one row before the order is built, so that they
-    cannot fill a slice.
+    Readings are shuffled once, by machine and slice. Copies of a reading are counted inside that
+    partitioning. A machine that sends more than a task can sort in an hour needs finer slices.
     """
     order = ["event_timestamp", "record_id", "flagged"]
-    counted = (
+    seconds = F.unix_seconds(F.col("event_timestamp").cast("timestamp"))
+    # Readings without a time come first, in a slice before all others.
+    part_of_time = F.coalesce(F.floor(seconds / slice_seconds), F.lit(-(1 << 62)))
+    sliced = (
         silver.select(
             "machine_id",
+            part_of_time.alias("slice"),
             "event_timestamp",
             "record_id",
             F.coalesce("is_anomaly", F.lit(False)).alias("flagged"),
         )
-        .groupBy("machine_id", *order)
+        .repartition("machine_id", "slice")
+        .groupBy("machine_id", "slice", *order)
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    target = [slices] if slices else []
-    sliced = counted.repartitionByRange(*target, "machine_id", *order).withColumn(
-        "slice", F.spark_partition_id()
-    )
 
     in_slice = Window.partitionBy("machine_id", "slice").orderBy(*order)
     placed = sliced.withColumns(
@@ -62,7 +65,7 @@ def anomaly_bursts(silver: DataFrame, slices: int | None = None) -> DataFrame:
     # Rows at an edge: at most two per slice and machine. They form one group per machine, all
     # other runs stay in the group of their slice.
     at_edge = F.col("opens") | F.col("closes")
-    group = F.when(at_edge, F.lit(-1)).otherwise(F.col("slice"))
+    group = F.when(~at_edge, F.col("slice"))
     grouped = runs.withColumn("part", group)
     along = Window.partitionBy("machine_id", "part").orderBy("slice", "place")
     reaches_edge = F.lag(F.col("flagged") & F.col("closes")).over(along)

@@ -76,8 +76,11 @@ def attribute_sets(silver: DataFrame) -> DataFrame:
 def build_dimensions(silver: DataFrame, store: bool = False) -> Dimensions:
     """All four dimensions from the attribute sets, which `store` computes once and keeps."""
     sets = attribute_sets(silver)
-    if store:
-        sets = materialize(sets)
+    return dimensions_of_sets(materialize(sets) if store else sets)
+
+
+def dimensions_of_sets(sets: DataFrame) -> Dimensions:
+    """All four dimensions from attribute sets."""
     return Dimensions(
         line=production_lines(sets),
         machine=machines(sets),

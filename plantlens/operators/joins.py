@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plantlens.session import materialize
 
 # A lookup is broadcast up to this many bytes of column text plus overhead per value.
 BROADCAST_BYTES = 10 * 1024 * 1024
 VALUE_OVERHEAD = 16
-# Keys joined apart from the rest when the lookup is too large to broadcast.
-HOT_KEYS = 1000
+# A key with more than this share of the rows is spread over several tasks.
+HEAVY_SHARE = 512
 
 
 def payload_bytes(df: DataFrame) -> int:
@@ -33,17 +34,18 @@ def lookup_join(
     keys: list[str],
     how: str = "inner",
     max_bytes: int = BROADCAST_BYTES,
-    hot_keys: int = HOT_KEYS,
+    heavy_share: int = HEAVY_SHARE,
 ) -> DataFrame:
     """Join `rows` to `lookup` on equal `keys`; `how` is "inner" or "left".
 
     `lookup` should be stored (a table, a checkpoint or a literal frame): its size is measured
     before the join. A lookup within `max_bytes` is broadcast, and `rows` are not shuffled.
 
-    Beyond that the join shuffles, and a key with a large share of `rows` would overload one
-    task. The `hot_keys` most frequent keys are therefore joined by broadcasting only their
-    part of the lookup. Any other key has at most 1 / (hot_keys + 1) of the rows. Rows with a
-    NULL key match nothing and stay out of the shuffle.
+    Beyond that the join shuffles both sides, whatever Spark takes the lookup's size to be. Keys
+    are counted once. One with over a `heavy_share`-th of the rows, of which there are fewer than
+    `heavy_share`, is cut into as many parts as it has such shares: a row takes its part by a
+    hash of itself, the lookup is repeated for each part. Rows with a NULL key match nothing and
+    are spread over all parts. `rows` are read twice in all.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
@@ -51,23 +53,40 @@ def lookup_join(
         return rows.join(F.broadcast(lookup), keys, how)
 
     has_key = " AND ".join(f"`{key}` IS NOT NULL" for key in keys)
-    keyed = rows.filter(has_key)
-    frequent = materialize(
-        keyed.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(hot_keys)
-        .drop("_rows")
-    )
-    hot_lookup = materialize(lookup.join(F.broadcast(frequent), keys, "left_semi"))
-    if fits_broadcast(hot_lookup, BROADCAST_BYTES):
-        hot_lookup = F.broadcast(hot_lookup)
-    hot = keyed.join(F.broadcast(frequent), keys, "left_semi").join(hot_lookup, keys, how)
-    rest = keyed.join(F.broadcast(frequent), keys, "left_anti").join(lookup, keys, how)
-    joined = hot.unionByName(rest)
-    if how == "left":
-        extra = [
-            F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema if f.name not in keys
-        ]
-        joined = joined.unionByName(rows.filter(f"NOT ({has_key})").select("*", *extra))
-    return joined
+    heavy = F.broadcast(heavy_keys(rows.filter(has_key), keys, heavy_share))
+    hashed = [f.name for f in rows.schema if not _holds_map(f.dataType)]
+    # Copies of a row in different input partitions differ by the partition.
+    draw = F.xxhash64(F.spark_partition_id(), *(F.col(f"`{name}`") for name in hashed))
+    parts = F.when(F.expr(has_key), F.coalesce("_parts", F.lit(1))).otherwise(heavy_share)
+    dealt = rows.join(heavy, keys, "left").withColumn("_part", F.pmod(draw, parts).cast("int"))
+    every_part = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    repeated = lookup.join(heavy, keys, "left").withColumn("_part", every_part).drop("_parts")
+    joined = dealt.drop("_parts").join(repeated.hint("merge"), [*keys, "_part"], how)
+    return joined.drop("_part")
+
+
+def heavy_keys(rows: DataFrame, keys: list[str], share: int) -> DataFrame:
+    """Keys with over a `share`-th of the rows, and into how many `_parts` they are cut."""
+    counted = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
+    total = counted.agg(F.sum("_rows")).first()[0] or 0
+    limit = F.lit(max(1, total // share))
+    found = counted.filter(F.col("_rows") > limit)
+    return found.select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_parts"))
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    """Whether values have a map in them, which cannot be hashed."""
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, T.MapType)
+
+
+def require_unique(lookup: DataFrame, keys: list[str]) -> None:
+    """Refuse a lookup in which a key occurs twice: it would multiply the rows that it joins."""
+    repeated = lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    found = repeated.limit(3).collect()
+    if found:
+        listed = ", ".join(str(tuple(row[key] for key in keys)) for row in found)
+        raise ValueError(f"keys listed more than once: {listed}")

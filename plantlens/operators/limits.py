@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.operators.joins import lookup_join
+from plantlens.operators.joins import lookup_join, require_unique
 from plantlens.schemas import LIMITS_SCHEMA
 
 
@@ -18,8 +18,10 @@ def check_limits(fact: DataFrame, limits: DataFrame, **join_options) -> DataFram
     """Every fact row with `violation` and the `side` on which its value lies outside.
 
     Limits come in four forms: an upper one (as `threshold` or as `threshold_high`), a lower
-    one, or both. A value on the limit is inside; one without limits violates nothing.
+    one, or both. A value on the limit is inside; one without limits violates nothing. Limits
+    listed twice for a machine and parameter are refused: they would count its values twice.
     """
+    require_unique(limits, ["machine_id", "parameter_name"])
     bounds = limits.select(
         "machine_id",
         "parameter_name",

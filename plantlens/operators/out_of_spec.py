@@ -13,12 +13,13 @@ SERIES = ["machine_id", "parameter_name"]
 
 
 def parameter_stats(fact: DataFrame) -> DataFrame:
-    """Mean, sample deviation and rows per machine and parameter, over all days."""
+    """Mean, sample deviation, rows and values per machine and parameter, over all days."""
     value = F.col("parameter_value")
     return fact.groupBy(*SERIES).agg(
         F.avg(value).alias("overall_mean"),
         F.stddev_samp(value).alias("overall_stddev"),
         F.count(F.lit(1)).alias("series_rows"),
+        F.count(value).alias("series_values"),
     )
 
 

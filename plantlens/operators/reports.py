@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.operators.joins import lookup_join
+from plantlens.operators.joins import lookup_join, require_unique
 from plantlens.schemas import KNOWLEDGE_SCHEMA
 
 # How a part names its number.
@@ -25,7 +25,11 @@ def read_knowledge(spark: SparkSession, path: str) -> DataFrame:
 
 
 def explain_findings(findings: DataFrame, knowledge: DataFrame, **join_options) -> DataFrame:
-    """Findings with cause, threshold text, parts and steps; unknown parameters stay without."""
+    """Findings with cause, threshold text, parts and steps; unknown parameters stay without.
+
+    Knowledge listed twice for a machine and parameter is refused, as it would repeat findings.
+    """
+    require_unique(knowledge, ["machine_id", "param_key"])
     known = knowledge.withColumnRenamed("param_key", "parameter_name")
     return lookup_join(findings, known, ["machine_id", "parameter_name"], "left", **join_options)
 
@@ -96,6 +100,14 @@ def _section(finding: Column) -> Column:
     )
 
 
+def _one_row_each(dimension: DataFrame, key: str) -> DataFrame:
+    """One row per key; attributes with several values list them."""
+    attributes = [column for column in dimension.columns if column != key]
+    return dimension.groupBy(key).agg(
+        *(F.array_join(F.sort_array(F.collect_set(c)), " / ").alias(c) for c in attributes)
+    )
+
+
 def assemble_reports(
     explained: DataFrame, machines: DataFrame, lines: DataFrame, report_date: Column | None = None
 ) -> DataFrame:
@@ -103,7 +115,8 @@ def assemble_reports(
 
     The findings of a machine are at most one per parameter, so the list is as short as the
     machine's parameter set, or as the `top` of the watch list. `machines` and `lines` are the
-    dimensions; the report date is left out unless given.
+    dimensions. An attribute that has changed over time shows all its values, in order, so that a
+    machine has one report however its dimension drifts. The report date is left out unless given.
     """
     finding = F.struct(
         "rank",
@@ -122,9 +135,8 @@ def assemble_reports(
         F.max("location").alias("location"),
         F.sort_array(F.collect_list(finding)).alias("findings"),
     )
-    headed = per_machine.join(machines, "machine_id").join(
-        lines.select("line_id", "line_name", "product_type"), "line_id"
-    )
+    placed = machines.join(lines.select("line_id", "line_name", "product_type"), "line_id")
+    headed = per_machine.join(_one_row_each(placed, "machine_id"), "machine_id")
     findings = F.col("findings")
     count = F.size(findings)
     stage = F.initcap(F.replace(F.col("process_stage"), F.lit("_"), F.lit(" ")))

@@ -1,17 +1,24 @@
-"""The KPIs of a stored lake, as DataFrames or as temporary views."""
+"""The KPIs of a stored lake, as DataFrames or as temporary views.
+
+Readings are counted from silver, which has one row for each, and values are measured from the
+fact. Beside running streams silver may be one micro-batch ahead of the fact; each KPI uses one of
+the two, so none of them mixes their states.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plantlens import schemas
-from plantlens.operators.aggregates import readings_of_fact
+from plantlens.operators.aggregates import readings_of_silver
 from plantlens.operators.dimensions import Dimensions
 from plantlens.operators.out_of_spec import parameter_stats, varying
 from plantlens.plans import kpis
 from plantlens.session import materialize
-from plantlens.sources.tables import read_table
+from plantlens.sources.generations import generation_path
+from plantlens.sources.tables import read_table, register_table
 
 
 def read_dimensions(spark: SparkSession, lake: str) -> Dimensions:
@@ -23,31 +30,47 @@ def read_dimensions(spark: SparkSession, lake: str) -> Dimensions:
     )
 
 
-# Each view computes from (fact, dimensions, series statistics or None) when it is asked for.
+@dataclass(frozen=True)
+class Lake:
+    """What the KPIs are computed from."""
+
+    silver: DataFrame
+    fact: DataFrame
+    dims: Dimensions
+    stats: DataFrame
+
+    @property
+    def readings(self) -> DataFrame:
+        return readings_of_silver(self.silver)
+
+
+# Each view computes from a lake as it is when it is asked for.
 VIEWS = {
-    "mv_anomaly_rate": lambda fact, dims, stats: kpis.anomaly_rate(
-        readings_of_fact(fact), dims.line, dims.machine
+    "mv_anomaly_rate": lambda lake: kpis.anomaly_rate(
+        lake.readings, lake.dims.line, lake.dims.machine
+    ),
+    "mv_vibration_trend": lambda lake: kpis.vibration_trend(
+        lake.fact, lake.dims.line, lake.dims.machine
     ),
-    "mv_vibration_trend": lambda fact, dims, stats: kpis.vibration_trend(fact, dims.line, dims.machine),
-    "mv_parameter_stability": lambda fact, dims, stats: kpis.parameter_stability(
-        fact, dims.machine, dims.stage
+    "mv_parameter_stability": lambda lake: kpis.parameter_stability(
+        lake.fact, lake.dims.machine, lake.dims.stage
     ),
-    "mv_process_stage_anomaly_rate": lambda fact, dims, stats: kpis.process_stage_anomaly_rate(
-        readings_of_fact(fact), dims.stage, dims.line
+    "mv_process_stage_anomaly_rate": lambda lake: kpis.process_stage_anomaly_rate(
+        lake.readings, lake.dims.stage, lake.dims.line
     ),
-    "mv_power_consumption": lambda fact, dims, stats: kpis.power_consumption(
-        fact, dims.line, dims.machine
+    "mv_power_consumption": lambda lake: kpis.power_consumption(
+        lake.fact, lake.dims.line, lake.dims.machine
     ),
-    "mv_hourly_anomaly_heatmap": lambda fact, dims, stats: kpis.hourly_anomaly_heatmap(
-        readings_of_fact(fact), dims.line
+    "mv_hourly_anomaly_heatmap": lambda lake: kpis.hourly_anomaly_heatmap(
+        lake.readings, lake.dims.line
     ),
-    "mv_parameter_out_of_spec": lambda fact, dims, stats: kpis.parameter_out_of_spec(
-        fact, dims.machine, dims.stage, stats
+    "mv_parameter_out_of_spec": lambda lake: kpis.parameter_out_of_spec(
+        lake.fact, lake.dims.machine, lake.dims.stage, lake.stats
     ),
 }
 
 
-# Spark keeps no comment with a temporary view, so they are kept here.
+# Spark keeps no comment with a temporary view; `kpi_comments` shows these in SQL.
 COMMENTS = {
     "mv_anomaly_rate": "Flagged share of readings per line, machine and hour",
     "mv_vibration_trend": "Hourly vibration per machine; a rise points to wear",
@@ -59,33 +82,35 @@ COMMENTS = {
 }
 
 
-def kpi(spark: SparkSession, lake: str, name: str, stats: DataFrame | None = None) -> DataFrame:
-    """One KPI of a lake. Without `stats` those it needs are taken from the fact right away."""
+def read_lake(spark: SparkSession, lake: str, fresh_statistics: bool = False) -> Lake:
+    """The newest committed state of all tables. `fresh_statistics` measures the fact right away."""
     fact = read_table(spark, lake, schemas.FACT)
-    return VIEWS[name](fact, read_dimensions(spark, lake), stats)
-
+    stored = read_table(spark, lake, schemas.STATS)
+    stats = materialize(parameter_stats(fact)) if fresh_statistics else stored
+    return Lake(
+        silver=read_table(spark, lake, schemas.SILVER),
+        fact=fact,
+        dims=read_dimensions(spark, lake),
+        stats=varying(stats),
+    )
 
-def current_statistics(spark: SparkSession, lake: str, fact: DataFrame) -> DataFrame:
-    """Statistics of the series of `fact`: the stored ones if they cover it, else fresh ones.
 
-    The fact only grows, so equal row counts mean equal rows. Counting reads no column.
-    """
-    stored = read_table(spark, lake, schemas.STATS)
-    if stored.agg(F.sum("series_rows")).first()[0] == fact.count():
-        return varying(stored)
-    return materialize(varying(parameter_stats(fact)))
+def kpi(spark: SparkSession, lake: str, name: str, fresh_statistics: bool = False) -> DataFrame:
+    """One KPI of a lake as it is now."""
+    return VIEWS[name](read_lake(spark, lake, fresh_statistics))
 
 
 def create_views(spark: SparkSession, lake: str) -> list[str]:
     """Create or replace all seven as temporary views for `spark.sql`.
 
-    All of them read the fact as it was when they were created, so create them again after an
-    increment. Its rows are read here only if the stored statistics do not cover them.
+    A temporary view reads the files that were there when it was created. `run` and `follow` create
+    them again with every increment, `keep_names_current` does it for sessions that only read.
     """
-    fact, dims = read_table(spark, lake, schemas.FACT), read_dimensions(spark, lake)
-    stats = current_statistics(spark, lake, fact)
+    now = read_lake(spark, lake)
     for name, view in VIEWS.items():
-        view(fact, dims, stats).createOrReplaceTempView(name)
+        view(now).createOrReplaceTempView(name)
+    comments = spark.createDataFrame(list(COMMENTS.items()), "name string, comment string")
+    comments.createOrReplaceTempView("kpi_comments")
     return list(VIEWS)
 
 
@@ -94,3 +119,20 @@ def open_lake(spark: SparkSession, lake: str) -> list[str]:
     for spec in schemas.TABLES:
         read_table(spark, lake, spec).createOrReplaceTempView(spec.name)
     return [spec.name for spec in schemas.TABLES] + create_views(spark, lake)
+
+
+def register_lake(spark: SparkSession, lake: str, database: str) -> list[str]:
+    """All tables in the catalog, with comments and properties; short ones at their newest state.
+
+    Called again, it points the short tables to the newest generation in one step each.
+    """
+    names = []
+    for spec in schemas.TABLES:
+        short = spec in schemas.GENERATION
+        path = generation_path(spark, lake, spec) if short else None
+        name = register_table(spark, lake, spec, database, path)
+        if short:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+        names.append(name)
+    return names

@@ -137,16 +137,19 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     return _landings[key]
 
 
-def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damaged_lines(spark: SparkSession, sf_dir: str, errors: bool = False) -> DataFrame:
     """Raw lines of which whole event types are damaged, one kind of damage each.
 
     "click": cut off, so nothing parses. "signup": a time that is none. "purchase": no machine.
-    "view": a parameter sent as null. "error": as it should be.
+    "view": a parameter sent as null. "error": as it should be, but with `errors`, no record id if
+    it is odd, and a parameter sent as "NaN" if it is divisible by four.
     """
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("record_id"), "event_type"
     )
     line = F.col("value")
+    # Four kinds of ids by their remainder; without `errors` the damage below meets none.
+    kind = F.when(F.lit(errors) & (F.col("event_type") == "error"), F.col("record_id") % 4)
     damaged = (
         F.when(F.col("event_type") == "click", F.substring(line, 1, 40))
         .when(
@@ -161,6 +164,14 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("event_type") == "view",
             F.regexp_replace(line, '"vibration_mm_s_rms":[^,}]*', '"vibration_mm_s_rms":null'),
         )
+        .when(
+            kind.isin(1, 3),
+            F.regexp_replace(line, '"record_id":"[^"]*",', ""),
+        )
+        .when(
+            kind == 0,
+            F.regexp_replace(line, '"vibration_mm_s_rms":[^,}]*', '"vibration_mm_s_rms":"NaN"'),
+        )
         .otherwise(line)
     )
     lines = json_lines(silver(spark, sf_dir)).select(

@@ -2,37 +2,40 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlens import schemas
 from plantlens.operators.parse import parse_lines
 from plantlens.registry.bindings import (
+    damaged_lines,
     dimensions,
     first_delivery,
     landing,
     second_delivery,
     silver,
 )
+from plantlens.registry.checks import DAMAGED_FACT, FACT_FAILURES, SILVER_FAILURES
 from plantlens.registry.core import query
 from plantlens.registry.oracle import WITH
-from plantlens.registry.products import (
-    HEATMAP_SQL,
-    OUT_OF_SPEC_SQL,
-    SILVER_SQL,
-    flat_silver,
-    with_double_rates,
-)
+from plantlens.plans.views import VIEWS, read_dimensions, register_lake
+from plantlens.registry.products import KPI_SQL, SILVER_SQL, flat_silver, with_double_rates
 from plantlens.session import shared_dir
 from plantlens.sources.export import export_json_lines
+from plantlens.sources.files import names_in, set_modified
+from plantlens.sources.generations import read_generation, write_generation
 from plantlens.sources.landing import read_json_inferred, read_lines
-from plantlens.sources.tables import overwrite_table, read_table, register_table
+from plantlens.sources.tables import overwrite_table, read_table
 from plantlens.streaming.chain import (
+    compact,
     finish,
     ingest,
-    refresh_dimensions,
+    logged_expectations,
     run,
     start_bronze,
     start_fact,
@@ -40,6 +43,22 @@ from plantlens.streaming.chain import (
     stored_expectations,
 )
 
+# Rows and failures of every expectation, from three places that must agree.
+_EXPECTED = " UNION ALL ".join(
+    [
+        f"SELECT 'silver_telemetry' AS table_name, '{name}' AS expectation, count(*) AS rows, "
+        f"count(*) FILTER ({failing}) AS failed FROM silver"
+        for name, failing in SILVER_FAILURES.items()
+    ]
+    + [
+        f"SELECT 'gold_fact_telemetry', '{name}', count(*), count(*) FILTER ({failing}) FROM damaged"
+        for name, failing in FACT_FAILURES.items()
+    ]
+)
+DAMAGED_COUNTS_SQL = f"""{DAMAGED_FACT}, expected AS ({_EXPECTED})
+SELECT source, expected.* FROM expected,
+  (SELECT unnest(['observed', 'logged', 'stored']) AS source)"""
+
 DELIVERY_SQL = """CASE WHEN event_timestamp < TIMESTAMP '2024-01-16' THEN 'batch'
   ELSE 'streaming' END"""
 
@@ -84,6 +103,30 @@ def incremental_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "src_01b_late_file",
+    f"""{WITH} SELECT {DELIVERY_SQL} AS delivery, line_id, count(*) AS lines
+    FROM silver GROUP BY ALL""",
+)
+def late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later files are dated eleven years ahead for the first line, 1970 for the others."""
+    path, lake = shared_dir(spark, "landing"), shared_dir(spark, "lake")
+    readings = silver(spark, sf_dir)
+    export_json_lines(first_delivery(readings), f"{path}/batch")
+    finish(start_bronze(spark, path, lake))
+    eleven_years = 11 * 365 * 24 * 3600 * 1000
+    for number, line in enumerate(("PL-01", "PL-02", "PL-03", "PL-04")):
+        folder = f"{path}/streaming/{number}"
+        export_json_lines(second_delivery(readings).filter(F.col("line_id") == line), folder)
+        for part in names_in(spark, f"{folder}/line_id={line}"):
+            date = 0 if number else int(time.time() * 1000) + eleven_years
+            set_modified(spark, f"{folder}/line_id={line}/{part}", date)
+        finish(start_bronze(spark, path, lake))
+    lines = read_table(spark, lake, schemas.BRONZE)
+    line = F.get_json_object("raw_content", "$.line_id").alias("line_id")
+    return lines.groupBy(_delivery(), line).agg(F.count(F.lit(1)).alias("lines"))
+
+
 @query(
     "src_02_existing_files",
     f"{WITH} SELECT {DELIVERY_SQL} AS delivery, count(*) AS lines FROM silver GROUP BY ALL",
@@ -222,41 +265,82 @@ def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("snk_03_materialized_dimension", f"{WITH} SELECT * FROM machine")
 def materialized_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written twice; the second refresh replaces the first."""
+    """Written three times; a reader that was open on the first generation still has it."""
     lake = shared_dir(spark, "lake")
-    for _ in range(2):
-        overwrite_table(dimensions(spark, sf_dir).machine, lake, schemas.DIM_MACHINE)
-    return read_table(spark, lake, schemas.DIM_MACHINE)
+    machines = dimensions(spark, sf_dir).machine
+    write_generation(spark, lake, 0, [(schemas.DIM_MACHINE, machines)])
+    early = read_generation(spark, lake, schemas.DIM_MACHINE)
+    write_generation(spark, lake, 1, [(schemas.DIM_MACHINE, machines.limit(0))])
+    late = read_generation(spark, lake, schemas.DIM_MACHINE)
+    return early.unionByName(late)
+
+
+def _kpi_by_name(name: str, number: str):
+    """Registers a KPI of a stored lake, read by name after the first and the second delivery."""
+    sql = KPI_SQL[name]
+    both = f"SELECT 'second' AS state, q.* FROM ({sql}) q UNION ALL " + (
+        f"SELECT 'first', q.* FROM ({sql.replace('FROM events)', FIRST_EVENTS)}) q"
+    )
+
+    @query(number, both)
+    def by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, lake = shared_dir(spark, "landing"), shared_dir(spark, "lake")
+        readings = silver(spark, sf_dir)
+        export_json_lines(first_delivery(readings), f"{path}/batch")
+        run(spark, path, lake)
+        first = spark.table(name).withColumn("state", F.lit("first"))
+        export_json_lines(second_delivery(readings), f"{path}/streaming")
+        run(spark, path, lake)
+        second = spark.table(name).withColumn("state", F.lit("second"))
+        return with_double_rates(second.unionByName(first))
 
 
-@query("snk_04_view", HEATMAP_SQL)
+FIRST_EVENTS = "FROM events WHERE ts < TIMESTAMP '2024-01-16')"
+for place, kpi_name in enumerate(VIEWS):
+    suffix = kpi_name.removeprefix("mv_")
+    _kpi_by_name(kpi_name, f"snk_04{'abcdefg'[place]}_view_{suffix}")
+
+
+@query("snk_04_view", KPI_SQL["mv_hourly_anomaly_heatmap"])
 def view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A KPI of a stored lake, read by name."""
+    """A KPI of a stored lake, in SQL."""
     run(spark, landing(spark, sf_dir), shared_dir(spark, "lake"))
     return with_double_rates(spark.sql("SELECT * FROM mv_hourly_anomaly_heatmap"))
 
 
-@query("snk_04b_view_out_of_spec", OUT_OF_SPEC_SQL)
+@query("snk_04b_view_out_of_spec", KPI_SQL["mv_parameter_out_of_spec"])
 def view_out_of_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     run(spark, landing(spark, sf_dir), shared_dir(spark, "lake"))
     return with_double_rates(spark.table("mv_parameter_out_of_spec"))
 
 
+_ROWS = {
+    "bronze_raw_telemetry": "silver",
+    "silver_telemetry": "silver",
+    "gold_fact_telemetry": "fact",
+    "gold_dim_production_line": "line",
+    "gold_dim_machine": "machine",
+    "gold_dim_date": "day",
+    "gold_dim_process_stage": "stage",
+    "gold_parameter_stats": "series",
+}
+
+
 @query(
     "snk_05_comments_and_properties",
-    f"""{WITH} SELECT 'gold_dim_machine' AS table_name, 'gold' AS quality, true AS has_comment,
-    (SELECT count(*) FROM machine) AS rows UNION ALL
-    SELECT 'gold_dim_production_line', 'gold', true, (SELECT count(*) FROM line) UNION ALL
-    SELECT 'silver_telemetry', 'silver', true, (SELECT count(*) FROM silver)""",
+    f"{WITH} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{name.split('_')[0]}' AS quality, true AS has_comment, "
+        f"(SELECT count(*) FROM {rows}) AS rows"
+        for name, rows in _ROWS.items()
+    ),
 )
 def comments_and_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored tables as the catalog shows them, with their rows."""
+    """All stored tables as the catalog shows them, with their rows."""
     lake = _chained(spark, sf_dir)
-    refresh_dimensions(spark, lake)
-    database = f"plantlens_{uuid.uuid4().hex}"
     described = []
-    for spec in (schemas.DIM_MACHINE, schemas.DIM_LINE, schemas.SILVER):
-        name = register_table(spark, lake, spec, database)
+    names = register_lake(spark, lake, f"plantlens_{uuid.uuid4().hex}")
+    for name, spec in zip(names, schemas.TABLES, strict=True):
         shown = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
         properties = {row["key"]: row["value"] for row in shown}
         comment = spark.catalog.getTable(name).description
@@ -270,7 +354,37 @@ def comments_and_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "rows",
             )
         )
-    return described[0].unionByName(described[1]).unionByName(described[2])
+    return reduce(DataFrame.unionByName, described)
+
+
+@query(
+    "snk_05b_view_comments",
+    " UNION ALL ".join(f"SELECT '{name}' AS name, true AS has_comment" for name in VIEWS),
+)
+def view_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPIs of a lake with their comments, in SQL."""
+    run(spark, landing(spark, sf_dir), shared_dir(spark, "lake"))
+    return spark.sql("SELECT name, length(comment) > 20 AS has_comment FROM kpi_comments")
+
+
+@query(
+    "snk_07_compacted_table",
+    f"""{WITH} SELECT {DELIVERY_SQL} AS delivery, machine_id, parameter_name, count(*) AS rows
+    FROM fact GROUP BY ALL""",
+)
+def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compacted between two deliveries, so that the rows come from a copy and from new files."""
+    path, lake = shared_dir(spark, "landing"), shared_dir(spark, "lake")
+    readings = silver(spark, sf_dir)
+    export_json_lines(first_delivery(readings), f"{path}/batch")
+    ingest(spark, path, lake, max_files=2)
+    compact(spark, lake)
+    export_json_lines(second_delivery(readings), f"{path}/streaming")
+    ingest(spark, path, lake)
+    rows = read_table(spark, lake, schemas.FACT)
+    return rows.groupBy(_delivery(), "machine_id", "parameter_name").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
 
 
 @query("snk_06_json_export", SILVER_SQL)
@@ -330,27 +444,34 @@ def explode_in_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("record_id", "parameter_name", "parameter_value")
 
 
-@query(
-    "str_05_expectations_in_stream",
-    f"""{WITH} SELECT 'observed' AS source, (SELECT count(*) FROM fact) AS rows,
-    CAST(0 AS BIGINT) AS failed UNION ALL
-    SELECT 'stored', (SELECT count(*) FROM fact), CAST(0 AS BIGINT)""",
-)
+@query("str_05_expectations_in_stream", DAMAGED_COUNTS_SQL)
 def expectations_in_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counters observed batch by batch, beside those of the table they were observed on."""
-    lake = shared_dir(spark, "lake")
-    path = landing(spark, sf_dir)
-    counts = ingest(spark, path, lake, max_files=4)[schemas.FACT.name]
-    rows = counts.pop("rows")
+    """Counters of a stream of damaged lines: those returned, logged, and of the stored tables."""
+    path, lake = shared_dir(spark, "landing"), shared_dir(spark, "lake")
+    damaged = damaged_lines(spark, sf_dir, errors=True).select(F.col("raw_content").alias("value"))
+    damaged.repartition(6).write.text(path)
+    returned = ingest(spark, path, lake, max_files=2)
     observed = spark.createDataFrame(
-        [("observed", rows, sum(counts.values()))], "source STRING, rows BIGINT, failed BIGINT"
+        [
+            ("observed", table, name, counts["rows"], failed)
+            for table, counts in returned.items()
+            for name, failed in counts.items()
+            if name != "rows"
+        ],
+        "source STRING, table_name STRING, expectation STRING, rows BIGINT, failed BIGINT",
     )
-    stored = stored_expectations(spark, lake, schemas.FACT).agg(
-        F.lit("stored").alias("source"),
-        F.max(F.col("passed") + F.col("failed")).alias("rows"),
-        F.sum("failed").alias("failed"),
-    )
-    return observed.unionByName(stored)
+    logged = logged_expectations(spark, lake).withColumn("source", F.lit("logged"))
+    stored = [
+        stored_expectations(spark, lake, spec).select(
+            F.lit("stored").alias("source"),
+            F.lit(spec.name).alias("table_name"),
+            "expectation",
+            (F.col("passed") + F.col("failed")).alias("rows"),
+            "failed",
+        )
+        for spec in (schemas.SILVER, schemas.FACT)
+    ]
+    return reduce(DataFrame.unionByName, [observed, logged, *stored])
 
 
 @query(
@@ -359,9 +480,9 @@ def expectations_in_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM fact JOIN machine USING (machine_id) JOIN day USING (date_key) GROUP BY machine_id""",
 )
 def dimensions_beside_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dimensions refreshed after the streams have every row of the fact find its partner."""
+    """Every row of the fact finds its partner in the dimensions kept beside the streams."""
     lake = _chained(spark, sf_dir)
-    dims = refresh_dimensions(spark, lake)
+    dims = read_dimensions(spark, lake)
     daily = (
         read_table(spark, lake, schemas.FACT)
         .groupBy("machine_id", "date_key")

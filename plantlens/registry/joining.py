@@ -13,9 +13,20 @@ from plantlens.operators.aggregates import (
     readings_of_fact,
     readings_of_silver,
 )
-from plantlens.operators.dimensions import LINE_ATTRIBUTES, MACHINE_ATTRIBUTES
+from plantlens.operators.attributes import count_by_attributes
+from plantlens.operators.dimensions import (
+    LINE_ATTRIBUTES,
+    MACHINE_ATTRIBUTES,
+    machines,
+    production_lines,
+)
 from plantlens.operators.joins import lookup_join
-from plantlens.operators.out_of_spec import SERIES, count_out_of_spec, flag_out_of_spec
+from plantlens.operators.out_of_spec import (
+    SERIES,
+    count_out_of_spec,
+    flag_out_of_spec,
+    parameter_stats,
+)
 from plantlens.registry.bindings import (
     dimensions,
     fact,
@@ -75,7 +86,7 @@ def fact_stage_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same join as it runs for a lookup beyond the broadcast bound."""
     stages = materialize(dimensions(spark, sf_dir).stage)
     joined = lookup_join(
-        fact(spark, sf_dir), stages, ["process_stage"], max_bytes=0, hot_keys=5
+        fact(spark, sf_dir), stages, ["process_stage"], max_bytes=0, heavy_share=5
     )
     return joined.select(*ROW, "stage_sequence", "stage_category")
 
@@ -94,6 +105,23 @@ def fact_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "jn_04c_hot_lookup",
+    f"""{WITH}, tagged AS (SELECT line_id, unnest(range(0, 40)) AS tag FROM line)
+    SELECT line_id, tag, count(*) AS rows, count(*) FILTER (is_anomaly) AS flagged_rows
+    FROM fact JOIN tagged USING (line_id) GROUP BY ALL""",
+)
+def hot_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup of long texts, larger than a broadcast, with 40 rows behind each of four hot keys."""
+    tags = F.explode(F.sequence(F.lit(0), F.lit(39))).alias("tag")
+    text = F.repeat(F.lit("x"), 100_000).alias("text")
+    lines = dimensions(spark, sf_dir).line.select("line_id", tags).select("*", text)
+    joined = lookup_join(fact(spark, sf_dir), materialize(lines), ["line_id"])
+    return joined.groupBy("line_id", F.col("tag").cast("bigint").alias("tag")).agg(
+        F.count("text").alias("rows"), F.count_if("is_anomaly").alias("flagged_rows")
+    )
+
+
 @query(
     "jn_05_machine_stage",
     f"""{WITH} SELECT machine_id, machine_type, stage.process_stage, stage_category
@@ -112,18 +140,9 @@ def machine_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM fact JOIN day ON fact.date_key = day.date_key GROUP BY ALL""",
 )
 def fact_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekdays against weekends. Days are counted first, the calendar joins the counts."""
-    daily = fact(spark, sf_dir).groupBy("date_key").agg(
-        F.count(F.lit(1)).alias("fact_rows"), F.count_if("is_anomaly").alias("flagged_rows")
-    )
-    calendar = dimensions(spark, sf_dir).date.select("date_key", "is_weekend")
-    return (
-        daily.join(calendar, "date_key")
-        .groupBy("is_weekend")
-        .agg(
-            F.sum("fact_rows").alias("fact_rows"), F.sum("flagged_rows").alias("flagged_rows")
-        )
-    )
+    """Weekdays against weekends."""
+    days = {"date_key": dimensions(spark, sf_dir).date}
+    return count_by_attributes(fact(spark, sf_dir), days, ["is_weekend"], "fact_rows")
 
 
 # --- aggregates ----------------------------------------------------------------------------
@@ -134,7 +153,7 @@ def fact_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{WITH} SELECT DISTINCT {', '.join(LINE_ATTRIBUTES)} FROM silver",
 )
 def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(spark, sf_dir).select(*LINE_ATTRIBUTES).distinct()
+    return production_lines(silver(spark, sf_dir)).select(*LINE_ATTRIBUTES)
 
 
 @query(
@@ -142,9 +161,7 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{WITH} SELECT {', '.join(MACHINE_ATTRIBUTES)} FROM silver GROUP BY ALL",
 )
 def group_by_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver(spark, sf_dir).createOrReplaceTempView("plantlens_silver")
-    columns = ", ".join(MACHINE_ATTRIBUTES)
-    return spark.sql(f"SELECT {columns} FROM plantlens_silver GROUP BY ALL")
+    return machines(silver(spark, sf_dir))
 
 
 @query(
@@ -153,8 +170,9 @@ def group_by_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM fact GROUP BY machine_id, parameter_name""",
 )
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = fact(spark, sf_dir).groupBy("machine_id", "parameter_name")
-    return grouped.agg(F.count(F.lit(1)).alias("reading_count"))
+    return parameter_stats(fact(spark, sf_dir)).select(
+        *SERIES, F.col("series_rows").alias("reading_count")
+    )
 
 
 @query(
@@ -196,8 +214,8 @@ def conditional_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM fact GROUP BY line_id, date_key""",
 )
 def conditional_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = F.sum(F.when(F.col("is_anomaly"), 1).otherwise(0))
-    return fact(spark, sf_dir).groupBy("line_id", "date_key").agg(flagged.alias("flagged_rows"))
+    counts = count_readings(readings_of_fact(fact(spark, sf_dir)), ["line_id", "date_key"])
+    return counts.select("line_id", "date_key", F.col("flagged_parameters").alias("flagged_rows"))
 
 
 @query(
@@ -294,7 +312,7 @@ def two_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def two_levels_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The statistics joined as they are beyond the broadcast bound."""
     counted = count_out_of_spec(
-        fact(spark, sf_dir), [*SERIES, "date_key"], max_bytes=0, hot_keys=10
+        fact(spark, sf_dir), [*SERIES, "date_key"], max_bytes=0, heavy_share=10
     )
     return counted.drop("param_mean", "param_stddev")
 
@@ -317,14 +335,10 @@ def adhoc_count(spark: SparkSession, sf_dir: str) -> DataFrame:
       JOIN stage ON fact.process_stage = stage.process_stage GROUP BY ALL""",
 )
 def joined_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grouped by attributes of two dimensions, which join the counts per machine and stage."""
+    """Grouped by attributes of two dimensions."""
     dims = dimensions(spark, sf_dir)
-    counted = fact(spark, sf_dir).groupBy("machine_id", "process_stage", "parameter_name").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if("is_anomaly").alias("flagged_rows")
-    )
-    joined = counted.join(
-        dims.machine.select("machine_id", "machine_type"), "machine_id"
-    ).join(dims.stage, "process_stage")
-    return joined.groupBy("machine_type", "stage_category", "parameter_name").agg(
-        F.sum("rows").alias("rows"), F.sum("flagged_rows").alias("flagged_rows")
+    return count_by_attributes(
+        fact(spark, sf_dir),
+        {"machine_id": dims.machine.drop("process_stage"), "process_stage": dims.stage},
+        ["machine_type", "stage_category", "parameter_name"],
     )

@@ -111,58 +111,58 @@ COUNTS = f"""count(DISTINCT f.record_id) AS total_readings,
       AS anomaly_rate_pct"""
 
 
-@query(
-    "dp_08_anomaly_rate",
-    f"""{WITH} SELECT f.line_id, line.line_name, line.product_type, f.machine_id,
+ANOMALY_RATE_SQL = f"""{WITH} SELECT f.line_id, line.line_name, line.product_type, f.machine_id,
     machine.machine_type, f.date_key, f.hour_of_day, {COUNTS}
     FROM fact f JOIN line ON f.line_id = line.line_id
-      JOIN machine ON f.machine_id = machine.machine_id GROUP BY ALL""",
-)
+      JOIN machine ON f.machine_id = machine.machine_id GROUP BY ALL"""
+
+
+@query("dp_08_anomaly_rate", ANOMALY_RATE_SQL)
 def anomaly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = dimensions(spark, sf_dir)
     readings = readings_of_silver(silver(spark, sf_dir))
     return with_double_rates(kpis.anomaly_rate(readings, dims.line, dims.machine))
 
 
-@query(
-    "dp_09_vibration_trend",
-    f"""{WITH} SELECT f.line_id, line_name, f.machine_id, machine_type, machine.process_stage,
+VIBRATION_SQL = f"""{WITH} SELECT f.line_id, line_name, f.machine_id, machine_type, machine.process_stage,
     date_key, hour_of_day, round(avg(parameter_value), 6) AS avg_vibration_mm_s_rms,
     round(max(parameter_value), 6) AS max_vibration_mm_s_rms,
     round(min(parameter_value), 6) AS min_vibration_mm_s_rms,
     round(stddev_samp(parameter_value), 6) AS stddev_vibration, count(*) AS reading_count
     FROM fact f JOIN line ON f.line_id = line.line_id
       JOIN machine ON f.machine_id = machine.machine_id
-    WHERE parameter_name = 'vibration_mm_s_rms' GROUP BY ALL""",
-)
+    WHERE parameter_name = 'vibration_mm_s_rms' GROUP BY ALL"""
+
+
+@query("dp_09_vibration_trend", VIBRATION_SQL)
 def vibration_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = dimensions(spark, sf_dir)
     rows = parameter_rows(silver(spark, sf_dir), kpis.VIBRATION)
     return kpis.vibration_trend(rows, dims.line, dims.machine)
 
 
-@query(
-    "dp_10_parameter_stability",
-    f"""{WITH} SELECT f.line_id, f.machine_id, machine_type, stage_category, parameter_name,
+STABILITY_SQL = f"""{WITH} SELECT f.line_id, f.machine_id, machine_type, stage_category, parameter_name,
     date_key, hour_of_day, round(avg(parameter_value), 6) AS mean_value,
     round(stddev_samp(parameter_value), 6) AS stddev_value,
     round(CASE WHEN avg(parameter_value) <> 0
       THEN stddev_samp(parameter_value) / abs(avg(parameter_value)) END, 6) AS stability_index,
     count(*) AS reading_count
     FROM fact f JOIN machine ON f.machine_id = machine.machine_id
-      JOIN stage ON f.process_stage = stage.process_stage GROUP BY ALL""",
-)
+      JOIN stage ON f.process_stage = stage.process_stage GROUP BY ALL"""
+
+
+@query("dp_10_parameter_stability", STABILITY_SQL)
 def parameter_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = dimensions(spark, sf_dir)
     return kpis.parameter_stability(fact(spark, sf_dir), dims.machine, dims.stage)
 
 
-@query(
-    "dp_11_process_stage_anomaly_rate",
-    f"""{WITH} SELECT stage_category, stage_sequence, f.line_id, product_type, date_key, {COUNTS}
+STAGE_RATE_SQL = f"""{WITH} SELECT stage_category, stage_sequence, f.line_id, product_type, date_key, {COUNTS}
     FROM fact f JOIN stage ON f.process_stage = stage.process_stage
-      JOIN line ON f.line_id = line.line_id GROUP BY ALL""",
-)
+      JOIN line ON f.line_id = line.line_id GROUP BY ALL"""
+
+
+@query("dp_11_process_stage_anomaly_rate", STAGE_RATE_SQL)
 def process_stage_anomaly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = dimensions(spark, sf_dir)
     readings = readings_of_silver(silver(spark, sf_dir))
@@ -170,16 +170,16 @@ def process_stage_anomaly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_double_rates(kpis.process_stage_anomaly_rate(readings, stages, dims.line))
 
 
-@query(
-    "dp_12_power_consumption",
-    f"""{WITH} SELECT f.line_id, line_name, product_type, f.machine_id, machine_type, date_key,
+POWER_SQL = f"""{WITH} SELECT f.line_id, line_name, product_type, f.machine_id, machine_type, date_key,
     hour_of_day, round(avg(parameter_value), 4) AS avg_power_kw,
     round(max(parameter_value), 4) AS max_power_kw, round(min(parameter_value), 4) AS min_power_kw,
     round(stddev_samp(parameter_value), 4) AS stddev_power_kw, count(*) AS reading_count
     FROM fact f JOIN line ON f.line_id = line.line_id
       JOIN machine ON f.machine_id = machine.machine_id
-    WHERE parameter_name = 'power_consumption_kw' GROUP BY ALL""",
-)
+    WHERE parameter_name = 'power_consumption_kw' GROUP BY ALL"""
+
+
+@query("dp_12_power_consumption", POWER_SQL)
 def power_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = dimensions(spark, sf_dir)
     rows = parameter_rows(silver(spark, sf_dir), kpis.POWER)
@@ -215,3 +215,14 @@ def parameter_out_of_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_double_rates(
         kpis.parameter_out_of_spec(fact(spark, sf_dir), dims.machine, dims.stage)
     )
+
+
+KPI_SQL = {
+    "mv_anomaly_rate": ANOMALY_RATE_SQL,
+    "mv_vibration_trend": VIBRATION_SQL,
+    "mv_parameter_stability": STABILITY_SQL,
+    "mv_process_stage_anomaly_rate": STAGE_RATE_SQL,
+    "mv_power_consumption": POWER_SQL,
+    "mv_hourly_anomaly_heatmap": HEATMAP_SQL,
+    "mv_parameter_out_of_spec": OUT_OF_SPEC_SQL,
+}

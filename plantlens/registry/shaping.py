@@ -19,8 +19,7 @@ from plantlens.sources.landing import read_lines
 
 @query("prj_01_rename", f"{WITH} SELECT record_id FROM silver")
 def rename(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = spark.read.option("recursiveFileLookup", "true").text(landing(spark, sf_dir))
-    renamed = raw.withColumnRenamed("value", "raw_content")
+    renamed = read_lines(spark, landing(spark, sf_dir))
     return renamed.select(F.get_json_object("raw_content", "$.record_id").alias("record_id"))
 
 
@@ -30,7 +29,7 @@ def rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_timestamp AS measured_at FROM silver""",
 )
 def select_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(spark, sf_dir).select(
+    return keyed_readings(silver(spark, sf_dir)).select(
         F.col("record_id").alias("reading"),
         F.col("machine_id").alias("machine"),
         F.col("event_timestamp").alias("measured_at"),
@@ -142,9 +141,8 @@ def date_key_and_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{WITH} SELECT record_id, parameter_name, parameter_value FROM fact",
 )
 def map_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(spark, sf_dir).select(
-        "record_id", F.explode("telemetry").alias("parameter_name", "parameter_value")
-    )
+    rows = fact_rows(silver(spark, sf_dir))
+    return rows.select("record_id", "parameter_name", "parameter_value")
 
 
 # --- predicates ----------------------------------------------------------------------------
@@ -204,7 +202,7 @@ def machines_with_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{WITH} SELECT record_id FROM silver WHERE dayofweek(event_timestamp) + 1 IN (1, 7)",
 )
 def in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weekend_day = F.dayofweek("event_timestamp").isin(1, 7)
+    weekend_day = calendar.is_weekend(F.col("event_timestamp"))
     return silver(spark, sf_dir).filter(weekend_day).select("record_id")
 
 
@@ -308,7 +306,7 @@ def cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).select(
         "record_id",
         when.cast("date").alias("day"),
-        F.date_format(when, "yyyyMMdd").cast("int").alias("day_number"),
+        calendar.date_key(when).alias("day_number"),
     )
 
 
@@ -320,19 +318,25 @@ def cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     CAST(weekofyear(l_shipdate) AS INT) AS week FROM lineitem""",
 )
 def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = "l_shipdate"
-    return table(spark, sf_dir, "lineitem").select(
+    return _ship_days(spark, sf_dir).selectExpr(
         "l_orderkey",
         "l_linenumber",
-        F.year(day).alias("y"),
-        F.quarter(day).alias("q"),
-        F.month(day).alias("m"),
-        F.day(day).alias("d"),
-        F.dayofweek(day).alias("weekday"),
-        F.weekofyear(day).alias("week"),
+        "year AS y",
+        "quarter AS q",
+        "month AS m",
+        "day_of_month AS d",
+        "day_of_week AS weekday",
+        "week_of_year AS week",
     )
 
 
+def _ship_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar columns over seven years of days."""
+    day = F.to_date("l_shipdate")
+    items = table(spark, sf_dir, "lineitem")
+    return items.select("l_orderkey", "l_linenumber", *calendar.calendar_columns(day))
+
+
 @query("fn_08_hour", "SELECT event_id, CAST(hour(ts) AS INT) AS hour_of_day FROM events")
 def hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = calendar.hour_of_day(F.col("ts")).alias("hour_of_day")
@@ -345,12 +349,12 @@ def hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthname(l_shipdate) AS month_name, dayname(l_shipdate) AS day_name FROM lineitem""",
 )
 def date_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+    return _ship_days(spark, sf_dir).select(
         "l_orderkey",
         "l_linenumber",
-        F.date_format("l_shipdate", "yyyyMMdd").alias("day_text"),
-        F.date_format("l_shipdate", "MMMM").alias("month_name"),
-        F.date_format("l_shipdate", "EEEE").alias("day_name"),
+        F.col("date_key").cast("string").alias("day_text"),
+        "month_name",
+        "day_name",
     )
 
 

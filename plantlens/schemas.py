@@ -117,6 +117,31 @@ STATS_SCHEMA = _struct(
     overall_mean=DOUBLE,
     overall_stddev=DOUBLE,
     series_rows=BIGINT,
+    # Rows with a value; with mean and deviation it is what merging needs.
+    series_values=BIGINT,
+)
+
+# What the dimensions are made of: attribute combinations per day, its date in event_timestamp.
+SETS_SCHEMA = _struct(
+    line_id=STRING,
+    line_name=STRING,
+    product_type=STRING,
+    target_frequency_band_ghz_min=DOUBLE,
+    target_frequency_band_ghz_max=DOUBLE,
+    machine_id=STRING,
+    machine_type=STRING,
+    process_stage=STRING,
+    event_timestamp=DATE,
+)
+
+EXPECTATION_LOG_SCHEMA = _struct(
+    table_name=STRING,
+    run_id=STRING,
+    batch_id=BIGINT,
+    batch_time=TIMESTAMP,
+    rows=BIGINT,
+    expectation=STRING,
+    failed=BIGINT,
 )
 
 LIMITS_SCHEMA = _struct(
@@ -157,13 +182,13 @@ BRONZE = TableSpec(
     "bronze_raw_telemetry",
     BRONZE_SCHEMA,
     "Landed lines, unparsed, with the file each one came from",
-    {"quality": "bronze"},
+    {"quality": "bronze", "compaction": "by size"},
 )
 SILVER = TableSpec(
     "silver_telemetry",
     SILVER_SCHEMA,
     "Typed readings; rows that fail an expectation are counted and kept",
-    {"quality": "silver"},
+    {"quality": "silver", "compaction": "by size"},
     ("line_id",),
     {
         "valid_record_id": "record_id IS NOT NULL",
@@ -175,7 +200,7 @@ FACT = TableSpec(
     "gold_fact_telemetry",
     FACT_SCHEMA,
     "One row per reading and sensor parameter",
-    {"quality": "gold"},
+    {"quality": "gold", "compaction": "by parameter_name, machine_id, event_timestamp"},
     # Not by day: that costs a sort and many small files, and no KPI asks for single days.
     (),
     {
@@ -216,4 +241,20 @@ STATS = TableSpec(
     {"quality": "gold"},
 )
 
-TABLES = (BRONZE, SILVER, FACT, DIM_LINE, DIM_MACHINE, DIM_DATE, DIM_STAGE, STATS)
+SETS = TableSpec(
+    "gold_attribute_sets",
+    SETS_SCHEMA,
+    "Attribute combinations per day, of which the dimensions are distinct parts",
+    {"quality": "gold"},
+)
+EXPECTATION_LOG = TableSpec(
+    "expectation_log",
+    EXPECTATION_LOG_SCHEMA,
+    "Rows and failed rows per expectation and micro-batch",
+    {"quality": "log"},
+)
+
+# Short tables that are replaced together, as one generation.
+GENERATION = (DIM_LINE, DIM_MACHINE, DIM_DATE, DIM_STAGE, STATS, SETS)
+STREAMED = (BRONZE, SILVER, FACT)
+TABLES = (*STREAMED, DIM_LINE, DIM_MACHINE, DIM_DATE, DIM_STAGE, STATS)

@@ -1,0 +1,76 @@
+"""Short tables of a lake that are replaced together: dimensions, statistics, attribute sets.
+
+A generation is written to a folder of its own and takes effect when its commit file appears.
+Readers take the newest committed one. The one before it is kept, so that a query planned on it
+can finish; older ones are deleted. A failure in mid-write leaves the last generation in place.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from plantlens.schemas import TableSpec
+from plantlens.sources.files import (
+    delete_folder,
+    make_folder,
+    names_in,
+    read_text,
+    write_text,
+)
+from plantlens.sources.landing import REMEMBER_FILES_FOR
+
+KEPT = 2
+COMMIT = ".commit"
+
+
+def _folder(lake: str) -> str:
+    return f"{lake.rstrip('/')}/_generations"
+
+
+def committed(spark: SparkSession, lake: str) -> list[int]:
+    """Numbers of the committed generations, in order."""
+    names = names_in(spark, _folder(lake))
+    return sorted(int(n.removesuffix(COMMIT)) for n in names if n.endswith(COMMIT))
+
+
+def _path(spark: SparkSession, lake: str, number: int) -> str:
+    return f"{_folder(lake)}/{read_text(spark, f'{_folder(lake)}/{number}{COMMIT}')}"
+
+
+def generation_path(spark: SparkSession, lake: str, spec: TableSpec) -> str:
+    """Where a table of the newest generation lies."""
+    return f"{_path(spark, lake, committed(spark, lake)[-1])}/{spec.name}"
+
+
+def read_generation(
+    spark: SparkSession, lake: str, spec: TableSpec, number: int | None = None
+) -> DataFrame:
+    """A table of the newest generation, or of generation `number`; no rows if there is none."""
+    numbers = committed(spark, lake) if number is None else [number]
+    if not numbers:
+        return spark.createDataFrame([], spec.schema)
+    path = f"{_path(spark, lake, numbers[-1])}/{spec.name}"
+    return spark.read.schema(spec.schema).parquet(path)
+
+
+def write_generation(
+    spark: SparkSession, lake: str, number: int, tables: list[tuple[TableSpec, DataFrame]]
+) -> None:
+    """Write and commit a generation, and delete those that are no longer kept."""
+    name = f"{number}-{uuid.uuid4().hex}"
+    for spec, df in tables:
+        df.select(*spec.schema.names).write.parquet(f"{_folder(lake)}/{name}/{spec.name}")
+    write_text(spark, f"{_folder(lake)}/{number}{COMMIT}", name)
+    for old in committed(spark, lake)[:-KEPT]:
+        path = _path(spark, lake, old)
+        delete_folder(spark, f"{_folder(lake)}/{old}{COMMIT}")
+        delete_folder(spark, path)
+
+
+def stream_commits(spark: SparkSession, lake: str) -> DataFrame:
+    """A row for each generation, as it is committed."""
+    make_folder(spark, _folder(lake))
+    reader = spark.readStream.options(pathGlobFilter=f"*{COMMIT}", maxFileAge=REMEMBER_FILES_FOR)
+    return reader.text(_folder(lake))

@@ -1,11 +1,18 @@
-"""Stored tables: parquet folders, one per table, below the folder of the lake."""
+"""Stored tables: parquet folders below the folder of the lake.
+
+Streamed tables grow by appends, in one folder each, and may have a compacted copy beside it, see
+`sources.compaction`. Short tables are replaced together, see `sources.generations`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from plantlens.schemas import TableSpec
+from plantlens.schemas import GENERATION, TableSpec
+from plantlens.sources.compaction import read_with_compacted
+from plantlens.sources.files import exists
+from plantlens.sources.generations import read_generation
 from plantlens.sources.landing import REMEMBER_FILES_FOR, bounded
 
 
@@ -19,8 +26,12 @@ def checkpoint_path(lake: str, spec: TableSpec) -> str:
 
 def read_table(spark: SparkSession, lake: str, spec: TableSpec) -> DataFrame:
     """Snapshot of a table. The schema is given, so partition values keep their types."""
-    columns = spec.schema.names
-    return spark.read.schema(spec.schema).parquet(table_path(lake, spec)).select(*columns)
+    if spec in GENERATION:
+        return read_generation(spark, lake, spec)
+    path = table_path(lake, spec)
+    if not exists(spark, path):
+        return spark.createDataFrame([], spec.schema)
+    return read_with_compacted(spark, lake, spec, path).select(*spec.schema.names)
 
 
 def stream_table(
@@ -36,6 +47,11 @@ def stream_table(
     return rows.select(*spec.schema.names)
 
 
+def triggered(writer, every: str | None):
+    """Take what is there and stop, or go on at an interval such as "5 seconds"."""
+    return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+
+
 def append_stream(
     df: DataFrame, lake: str, spec: TableSpec, every: str | None = None
 ) -> StreamingQuery:
@@ -50,21 +66,23 @@ def append_stream(
         .queryName(spec.name)
         .option("checkpointLocation", checkpoint_path(lake, spec))
     )
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    writer = triggered(writer, every)
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
     return writer.start(table_path(lake, spec))
 
 
 def overwrite_table(df: DataFrame, lake: str, spec: TableSpec) -> None:
-    """Full refresh of a table."""
+    """Write a streamed table from a batch, where no stream writes it."""
     writer = df.select(*spec.schema.names).write.mode("overwrite")
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
     writer.parquet(table_path(lake, spec))
 
 
-def register_table(spark: SparkSession, lake: str, spec: TableSpec, database: str) -> str:
+def register_table(
+    spark: SparkSession, lake: str, spec: TableSpec, database: str, path: str | None = None
+) -> str:
     """Make a stored table known to the catalog, with its comment and properties."""
     name = f"{database}.{spec.name}"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
@@ -73,7 +91,8 @@ def register_table(spark: SparkSession, lake: str, spec: TableSpec, database: st
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake}/_catalog'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitions} "
-        f"LOCATION '{table_path(lake, spec)}' COMMENT '{spec.comment}' TBLPROPERTIES ({properties})"
+        f"LOCATION '{path or table_path(lake, spec)}' COMMENT '{spec.comment}' "
+        f"TBLPROPERTIES ({properties})"
     )
     # Tables written by a stream list their own files and need no partitions in the catalog.
     if any(column.isPartition for column in spark.catalog.listColumns(name)):

@@ -1,8 +1,10 @@
-"""The ingest chain: landed files -> bronze -> silver -> fact, then dimensions.
+"""The ingest chain: landed files -> bronze -> silver -> dimensions and statistics -> fact.
 
-Three append-only streaming steps without state or shuffle, each with its own checkpoint. A run
-takes what has arrived since the last one and stops. The checkpoint makes it safe to run again
-after a failure: finished micro-batches are not repeated, an unfinished one is.
+Four streaming steps, each with its own checkpoint. Bronze, silver and fact are append-only,
+without state or shuffle. The third step merges what has arrived into the short tables, so that no
+run reads what earlier ones have read. A run takes what has arrived since the last one and stops.
+The checkpoint makes it safe to run again after a failure: finished micro-batches are not
+repeated, an unfinished one is.
 """
 
 from __future__ import annotations
@@ -10,21 +12,31 @@ from __future__ import annotations
 from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from plantlens import schemas
-from plantlens.operators.dimensions import Dimensions, build_dimensions
+from plantlens.operators.dimensions import Dimensions, attribute_sets, dimensions_of_sets
+from plantlens.operators.history import add_attribute_sets, add_statistics
 from plantlens.operators.out_of_spec import parameter_stats
 from plantlens.operators.parse import fact_rows, parse_lines
 from plantlens.operators.quality import expectation_report, observe_expectations
-from plantlens.plans.views import open_lake
-from plantlens.session import require_utc
+from plantlens.plans.views import open_lake, read_dimensions
+from plantlens.session import materialize, require_utc, shared_dir
+from plantlens.sources.compaction import FILE_BYTES, compact_table
+from plantlens.sources.generations import (
+    committed,
+    read_generation,
+    stream_commits,
+    write_generation,
+)
 from plantlens.sources.landing import stream_lines
 from plantlens.sources.tables import (
     append_stream,
-    overwrite_table,
     read_table,
     stream_table,
+    table_path,
+    triggered,
 )
 
 Counts = dict[str, int]
@@ -36,10 +48,11 @@ def start_bronze(
     lake: str,
     path_glob: str | None = None,
     every: str | None = None,
+    archive: str | None = None,
     **bounds,
 ) -> StreamingQuery:
     """`bounds` are `max_files` or `max_bytes` of a micro-batch, here and below."""
-    lines = stream_lines(spark, landing, path_glob, **bounds)
+    lines = stream_lines(spark, landing, path_glob, archive=archive, **bounds)
     return append_stream(lines, lake, schemas.BRONZE, every)
 
 
@@ -57,6 +70,68 @@ def start_fact(
     return append_stream(_observed(rows, schemas.FACT), lake, schemas.FACT, every)
 
 
+def start_short_tables(
+    spark: SparkSession,
+    lake: str,
+    every: str | None = None,
+    **bounds,
+) -> StreamingQuery:
+    """Dimensions and statistics, one generation per micro-batch of silver.
+
+    A generation is made of the one before and the readings of the batch. Its number is that of
+    the batch, so a batch that is done again after a failure is not added twice.
+    """
+
+    def merge(arrived: DataFrame, batch_id: int) -> None:
+        done = committed(spark, lake)
+        if batch_id in done:
+            return
+        before = [number for number in done if number < batch_id]
+        known = before[-1] if before else None
+        _write_short_tables(
+            arrived.sparkSession,
+            lake,
+            batch_id,
+            add_attribute_sets(_known(arrived, lake, schemas.SETS, known), arrived),
+            add_statistics(_known(arrived, lake, schemas.STATS, known), arrived),
+        )
+
+    readings = stream_table(spark, lake, schemas.SILVER, **bounds)
+    writer = (
+        readings.writeStream.foreachBatch(merge)
+        .queryName("short_tables")
+        .option("checkpointLocation", f"{lake.rstrip('/')}/_checkpoints/_short_tables")
+    )
+    return triggered(writer, every).start()
+
+
+def _known(arrived: DataFrame, lake: str, spec: schemas.TableSpec, number: int | None) -> DataFrame:
+    spark = arrived.sparkSession
+    if number is None:
+        return spark.createDataFrame([], spec.schema)
+    return read_generation(spark, lake, spec, number)
+
+
+def _write_short_tables(
+    spark: SparkSession, lake: str, number: int, sets: DataFrame, stats: DataFrame
+) -> None:
+    kept = materialize(sets)
+    dims = dimensions_of_sets(kept)
+    write_generation(
+        spark,
+        lake,
+        number,
+        [
+            (schemas.SETS, kept),
+            (schemas.STATS, stats),
+            (schemas.DIM_LINE, dims.line),
+            (schemas.DIM_MACHINE, dims.machine),
+            (schemas.DIM_DATE, dims.date),
+            (schemas.DIM_STAGE, dims.stage),
+        ],
+    )
+
+
 def _observed(df: DataFrame, spec: schemas.TableSpec) -> DataFrame:
     return observe_expectations(df, spec.name, spec.expectations)
 
@@ -66,32 +141,106 @@ def finish(query: StreamingQuery, poll_seconds: float = 0.5) -> Counts:
 
     Only the latest batches are kept by the query, so they are gathered while it runs.
     """
-    per_batch: dict[int, Counts] = {}
+    per_batch = _observed_batches(query, poll_seconds)
+    totals: Counter = Counter()
+    for _, counts in per_batch.values():
+        totals.update({name: count or 0 for name, count in counts.items()})
+    return dict(totals)
+
+
+def _observed_batches(query: StreamingQuery, poll_seconds: float) -> dict[int, tuple[str, Counts]]:
+    """Time and counters of each micro-batch of a query that runs until it has ended."""
+    per_batch: dict[int, tuple[str, Counts]] = {}
     stopped = False
     while not stopped:
         stopped = query.awaitTermination(poll_seconds)
         for progress in query.recentProgress:
             for metrics in progress.observedMetrics.values():
-                per_batch[progress.batchId] = metrics.asDict()
-    totals: Counter = Counter()
-    for counts in per_batch.values():
-        totals.update({name: count or 0 for name, count in counts.items()})
-    return dict(totals)
+                per_batch[progress.batchId] = (progress.timestamp, metrics.asDict())
+    return per_batch
+
+
+def log_entries(table: str, run_id: str, batch_id: int, time: str, counts: Counts) -> list[tuple]:
+    rows = counts.get("rows") or 0
+    return [
+        (table, run_id, batch_id, time, rows, name, failed or 0)
+        for name, failed in counts.items()
+        if name != "rows"
+    ]
+
+
+def append_to_log(spark: SparkSession, lake: str, entries: list[tuple]) -> None:
+    """Add counters to the expectation log of a lake: a few rows per table and micro-batch."""
+    if not entries:
+        return
+    types = {"batch_time": "string"}
+    ddl = ", ".join(
+        f"{f.name} {types.get(f.name, f.dataType.simpleString())}"
+        for f in schemas.EXPECTATION_LOG_SCHEMA
+    )
+    rows = spark.createDataFrame(entries, ddl).withColumn(
+        "batch_time", F.to_timestamp("batch_time")
+    )
+    rows.coalesce(1).write.mode("append").parquet(table_path(lake, schemas.EXPECTATION_LOG))
+
+
+class ExpectationLogger(StreamingQueryListener):
+    """Writes the counters of running queries to the expectation log, batch by batch."""
+
+    def __init__(self, spark: SparkSession, lake: str, run_ids: set[str]):
+        self.spark, self.lake, self.run_ids = spark, lake, run_ids
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        if str(progress.runId) not in self.run_ids or not progress.numInputRows:
+            return
+        for table, metrics in progress.observedMetrics.items():
+            entries = log_entries(
+                table, str(progress.runId), progress.batchId, progress.timestamp, metrics.asDict()
+            )
+            append_to_log(self.spark, self.lake, entries)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
 
 
 def ingest(
-    spark: SparkSession, landing: str, lake: str, path_glob: str | None = None, **bounds
+    spark: SparkSession,
+    landing: str,
+    lake: str,
+    path_glob: str | None = None,
+    archive: str | None = None,
+    **bounds,
 ) -> dict[str, Counts]:
-    """Take one increment through all three tables.
+    """Take one increment through all tables.
 
     Returns, for silver and fact, the rows appended and the rows that failed each expectation.
+    The same counters go to the expectation log. Dimensions come before the fact, since the KPIs
+    leave out fact rows whose dimension row is missing.
     """
     require_utc(spark)
-    finish(start_bronze(spark, landing, lake, path_glob, **bounds))
-    return {
-        schemas.SILVER.name: finish(start_silver(spark, lake, **bounds)),
-        schemas.FACT.name: finish(start_fact(spark, lake, **bounds)),
-    }
+    finish(start_bronze(spark, landing, lake, path_glob, archive=archive, **bounds))
+    silver = _logged(spark, lake, schemas.SILVER, start_silver(spark, lake, **bounds))
+    finish(start_short_tables(spark, lake, **bounds))
+    fact = _logged(spark, lake, schemas.FACT, start_fact(spark, lake, **bounds))
+    return {schemas.SILVER.name: silver, schemas.FACT.name: fact}
+
+
+def _logged(
+    spark: SparkSession, lake: str, spec: schemas.TableSpec, query: StreamingQuery
+) -> Counts:
+    run_id, entries, totals = str(query.runId), [], Counter()
+    for batch_id, (time, counts) in _observed_batches(query, 0.5).items():
+        entries += log_entries(spec.name, run_id, batch_id, time, counts)
+        totals.update({name: count or 0 for name, count in counts.items()})
+    append_to_log(spark, lake, entries)
+    return dict(totals)
 
 
 def follow(
@@ -100,58 +249,98 @@ def follow(
     lake: str,
     path_glob: str | None = None,
     every: str = "5 seconds",
+    archive: str | None = None,
     **bounds,
 ) -> list[StreamingQuery]:
-    """Keep all three tables up to date until the returned queries are stopped.
+    """Keep all tables, the KPIs by name and the expectation log up to date.
 
-    The backlog is taken first, which also makes sure that each step finds the table it reads.
+    This goes on until the returned queries are stopped. The backlog is taken first, which also
+    makes sure that each step finds the table it reads. The names then always stand for the newest
+    generation and the fact at that time.
     """
-    ingest(spark, landing, lake, path_glob, **bounds)
-    return [
-        start_bronze(spark, landing, lake, path_glob, every, **bounds),
+    run(spark, landing, lake, path_glob=path_glob, archive=archive, **bounds)
+    logged = [
         start_silver(spark, lake, every, **bounds),
         start_fact(spark, lake, every, **bounds),
     ]
+    run_ids = {str(query.runId) for query in logged}
+    spark.streams.addListener(ExpectationLogger(spark, lake, run_ids))
+    return [
+        start_bronze(spark, landing, lake, path_glob, every, archive=archive, **bounds),
+        *logged,
+        start_short_tables(spark, lake, every, **bounds),
+        keep_names_current(spark, lake, every),
+    ]
+
 
+def keep_names_current(spark: SparkSession, lake: str, every: str = "5 seconds") -> StreamingQuery:
+    """Point tables and KPIs by name to what is stored, each time the lake has grown.
 
-def refresh_dimensions(spark: SparkSession, lake: str) -> Dimensions:
-    """Recompute the four dimensions from all of silver, which is scanned once."""
-    dims = build_dimensions(read_table(spark, lake, schemas.SILVER), store=True)
-    for df, spec in (
-        (dims.line, schemas.DIM_LINE),
-        (dims.machine, schemas.DIM_MACHINE),
-        (dims.date, schemas.DIM_DATE),
-        (dims.stage, schemas.DIM_STAGE),
-    ):
-        overwrite_table(df, lake, spec)
-    return dims
+    For a session that reads a lake which another one writes; `follow` does it by itself. The
+    query sees new files of the fact and new generations, and reads none of their rows.
+    """
+    open_lake(spark, lake)
 
+    def reopen(arrived: DataFrame, batch_id: int) -> None:
+        open_lake(spark, lake)
 
-def refresh_statistics(spark: SparkSession, lake: str) -> None:
-    """Recompute the statistics of all series from the fact, in one pass."""
-    stats = parameter_stats(read_table(spark, lake, schemas.FACT))
-    overwrite_table(stats, lake, schemas.STATS)
+    grown = stream_table(spark, lake, schemas.FACT).select("record_id")
+    writer = grown.unionAll(stream_commits(spark, lake)).writeStream.foreachBatch(reopen)
+    # A session's own progress; each one starts from what is there.
+    checkpoint = shared_dir(spark, "names")
+    return triggered(
+        writer.queryName("names").option("checkpointLocation", checkpoint), every
+    ).start()
 
 
-def refresh(spark: SparkSession, lake: str) -> None:
-    """Bring dimensions, statistics and views up to the state of silver and fact.
+def rebuild_short_tables(spark: SparkSession, lake: str) -> Dimensions:
+    """Dimensions and statistics from all of silver and the fact, for repair and comparison.
 
-    This follows the fact, since the KPIs drop fact rows whose dimension row is missing. Beside
-    `follow` it is called as often as the KPIs are to be current.
+    The increments go on from what is built here, so no other step may run meanwhile.
     """
     require_utc(spark)
-    refresh_dimensions(spark, lake)
-    refresh_statistics(spark, lake)
-    open_lake(spark, lake)
+    done = committed(spark, lake)
+    sets = attribute_sets(read_table(spark, lake, schemas.SILVER))
+    stats = parameter_stats(read_table(spark, lake, schemas.FACT))
+    number = done[-1] if done else 0
+    _write_short_tables(spark, lake, number, sets, stats)
+    return read_dimensions(spark, lake)
 
 
 def run(spark: SparkSession, landing: str, lake: str, **options) -> dict[str, Counts]:
-    """One increment, then a refresh. Returns the counters of `ingest`."""
+    """One increment; tables and KPIs by name then stand for it. Returns the counters."""
     counts = ingest(spark, landing, lake, **options)
-    refresh(spark, lake)
+    open_lake(spark, lake)
     return counts
 
 
+def compact(
+    spark: SparkSession,
+    lake: str,
+    tables: tuple[schemas.TableSpec, ...] = schemas.STREAMED,
+    file_bytes: int = FILE_BYTES,
+) -> dict[str, int]:
+    """Compacted copies of streamed tables; the files each one covers. Streams may go on."""
+    return {
+        spec.name: compact_table(spark, lake, spec, table_path(lake, spec), file_bytes)
+        for spec in tables
+    }
+
+
 def stored_expectations(spark: SparkSession, lake: str, spec: schemas.TableSpec) -> DataFrame:
     """Expectations over everything stored in a table, whatever run it came from."""
     return expectation_report(read_table(spark, lake, spec), spec.expectations)
+
+
+def logged_expectations(spark: SparkSession, lake: str) -> DataFrame:
+    """Rows and failed rows per table and expectation over all logged micro-batches.
+
+    A micro-batch that was done again after a failure counts once, as it was done last.
+    """
+    log = read_table(spark, lake, schemas.EXPECTATION_LOG)
+    last = log.groupBy("table_name", "batch_id", "expectation").agg(
+        F.max_by(F.struct("rows", "failed"), "batch_time").alias("last")
+    )
+    return last.groupBy("table_name", "expectation").agg(
+        F.sum("last.rows").alias("rows"), F.sum("last.failed").alias("failed")
+    )

@@ -23,9 +23,9 @@ def walked(readings):
     return sorted(found)
 
 
-def bursts(spark, readings, slices):
+def bursts(spark, readings, slice_seconds):
     df = spark.createDataFrame(readings, DDL).repartition(5)
-    return sorted(tuple(r) for r in anomaly_bursts(df, slices).collect())
+    return sorted(tuple(r) for r in anomaly_bursts(df, slice_seconds).collect())
 
 
 def random_readings(seed, count, flag_share):
@@ -39,11 +39,29 @@ def random_readings(seed, count, flag_share):
     return readings
 
 
-@pytest.mark.parametrize("slices", [1, 3, 40, None])
+@pytest.mark.parametrize("slice_seconds", [1, 4, 50, 3600])
 @pytest.mark.parametrize("flag_share", [0.1, 0.6, 0.97])
-def test_random_readings(spark, slices, flag_share):
-    readings = random_readings(slices or 8, 600, flag_share)
-    assert bursts(spark, readings, slices) == walked(readings)
+def test_random_readings(spark, slice_seconds, flag_share):
+    """One machine holds over a third of all readings."""
+    readings = random_readings(slice_seconds, 600, flag_share)
+    assert bursts(spark, readings, slice_seconds) == walked(readings)
+
+
+def test_times_before_1970_and_none(spark):
+    times = [None, datetime(1969, 12, 31, 23, 59, 58), datetime(1970, 1, 1), datetime(1970, 1, 1, 1)]
+    readings = [("M1", t, f"r{i}", True) for i, t in enumerate(times)]
+    assert bursts(spark, readings, 1) == [("M1", times[1], times[3], 4)]
+
+
+def test_readings_are_shuffled_once(spark):
+    readings = spark.createDataFrame(random_readings(1, 50, 0.5), DDL)
+    plan = anomaly_bursts(readings)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange " in line]
+    assert "rangepartitioning" not in plan
+    # One of all readings, by machine and slice; the next is over runs, by machine and group.
+    assert len([line for line in shuffles if "slice" in line]) == 1
+    assert len(shuffles) == 2
+
 
 
 def test_one_burst_over_all_slices(spark):

@@ -165,7 +165,7 @@ def test_out_of_spec(spark, fact, dims, max_bytes, monkeypatch):
         monkeypatch.setattr(
             "plantlens.operators.out_of_spec.lookup_join",
             lambda rows, lookup, keys: kpis.lookup_join(
-                rows, lookup, keys, max_bytes=max_bytes, hot_keys=3
+                rows, lookup, keys, max_bytes=max_bytes, heavy_share=3
             ),
         )
     check(
