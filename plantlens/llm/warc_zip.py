@@ -38,6 +38,7 @@ from plantlens.session import shared_dir
 
 ARCHIVE_BYTES = 256 << 20
 RANGE_BYTES = 8 << 20
+INDEXES_PER_TASK = 4
 DATA_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST_SCHEMA = "path string, n_records long, n_bytes long"
@@ -335,9 +336,12 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
         for begin in range(0, len(rows), 256):
             yield pa.RecordBatch.from_pylist(rows[begin : begin + 256], schema=RECORD_ARROW)
 
-    paths = manifest.select("path").repartition("path")
+    # Rows stand for many bytes here, so partitions are counted by those, not by Spark.
+    count, volume = manifest.agg(F.count("*"), F.sum("n_bytes")).first()
+    paths = manifest.select("path").repartition(max(1, -(-count // INDEXES_PER_TASK)), "path")
     spans = paths.mapInArrow(locate, "path string, start long, length long, lengths array<long>")
-    return spans.repartition("path", "start").mapInArrow(read, RECORD_SCHEMA)
+    tasks = max(1, -(-(volume or 0) // RANGE_BYTES))
+    return spans.repartition(tasks, "path", "start").mapInArrow(read, RECORD_SCHEMA)
 
 
 RECORD_ARROW = pa.schema(
