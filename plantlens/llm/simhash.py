@@ -10,7 +10,8 @@ chain and then the full distance, and emit for each key the links of a spanning
 
 All of this works on distinct fingerprints; documents with equal ones are one node. A key fixes 32
 bits, and the 72 keys of a fingerprint lie in different tasks, so that a large group of different
-near copies is spread as well. Components are found by passing on the smallest label, with
+near copies is spread as well. Within a key, a walk compares a mark with those not yet visited, so
+a dense group costs little more than its size. Components are found by passing on the smallest label, with
 shortcuts, over stored frames.
 
 Null and empty texts have fingerprint zero and are linked like any other. Rows with a null doc_id
