@@ -169,19 +169,32 @@ def disclosing_terms(
         F.concat_ws(":", "e.kind", F.lower("e.s.value")).alias("entity"),
         near_terms(F.col("line"), F.col("e.s.start"), F.col("e.s.end"), near, term).alias("around"),
     )
+    n_lines = different_lines(docs, text).count()
+    total = F.lit(float(max(n_lines, 1)))
+    information = F.log(total / F.col("n_e"))
+
+    def strength(n_t: str) -> Column:
+        return F.log(total * F.col("n_te") / (F.col(n_t) * F.col("n_e"))) / information
+
     entities = placed.select("line_key", "entity").distinct().groupBy("entity")
     repeated = entities.agg(F.count("*").alias("n_e")).where(F.col("n_e") >= least)
-    met = placed.select("line_key", "entity", F.explode("around").alias("term")).distinct()
+    met = stored(
+        placed.select("line_key", "entity", F.explode("around").alias("term")).distinct(), "met"
+    )
     together = met.groupBy("term", "entity").agg(F.count("*").alias("n_te"))
+    # Lines near any entity are some of those with the term: too many of them, and it is out.
+    beside = met.select("term", "line_key").distinct().groupBy("term")
+    beside = beside.agg(F.count("*").alias("n_near"))
     pairs = stored(
-        together.where(F.col("n_te") >= least).join(repeated, "entity"), "pairs"
+        together.where(F.col("n_te") >= least)
+        .join(repeated, "entity")
+        .join(beside, "term")
+        .where(strength("n_near") >= alpha),
+        "pairs",
     )
     candidates = stored(pairs.select("term").distinct(), "candidates")
-    n_lines, counts = line_counts(docs, text, candidates, term)
-    total = F.lit(float(max(n_lines, 1)))
-    information = F.log(total / F.col("n_e"))
-    pmi = F.log(total * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    judged = pairs.join(counts, "term").withColumn("strength", pmi / information)
+    counts = lines_with(docs, text, candidates, term)
+    judged = pairs.join(counts, "term").withColumn("strength", strength("n_t"))
     return stored(
         judged.where(F.col("strength") >= alpha)
         .groupBy("term")
@@ -190,20 +203,23 @@ def disclosing_terms(
     )
 
 
-def line_counts(
-    docs: DataFrame, text: str, candidates: DataFrame, term: str
-) -> tuple[int, DataFrame]:
-    """Number of different lines of the corpus, and of those with each candidate term."""
+def different_lines(docs: DataFrame, text: str) -> DataFrame:
+    """Keys of the different lines of the corpus."""
+    lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).where("line <> ''")
+    return lines.select(F.xxhash64("line").alias("line_key")).distinct()
+
+
+def lines_with(docs: DataFrame, text: str, candidates: DataFrame, term: str) -> DataFrame:
+    """Number of different lines with each candidate term: term, n_t."""
     lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).where("line <> ''")
-    keyed = lines.select(F.xxhash64("line").alias("line_key"), "line")
-    n_lines = keyed.select("line_key").distinct().count()
-    words = keyed.select(
-        "line_key", F.explode(F.regexp_extract_all("line", F.lit(term), F.lit(0))).alias("term")
+    words = lines.select(
+        F.xxhash64("line").alias("line_key"),
+        F.explode(F.regexp_extract_all("line", F.lit(term), F.lit(0))).alias("term"),
     ).withColumn("term", F.lower("term"))
     small = stored_bytes(candidates) <= BROADCAST_BYTES
     wanted = F.broadcast(candidates) if small else candidates.hint("merge")
     found = words.join(wanted, "term", "left_semi").distinct()
-    return n_lines, found.groupBy("term").agg(F.count("*").alias("n_t"))
+    return found.groupBy("term").agg(F.count("*").alias("n_t"))
 
 
 def find_spans(
