@@ -3,6 +3,7 @@
 import io
 import random
 import zipfile
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -20,6 +21,7 @@ from plantlens.llm import (
     toxicity,
     warc_zip,
 )
+from plantlens.llm.common import join_hot, stored
 
 DOCS = "doc_id long, text string, lang string, source string"
 LONG = "lorem Ipsum dolor " * 40_000
@@ -112,6 +114,26 @@ def test_cuckoo_filter():
     assert probe.contains(keys[1500:3000]).all() and probe.contains(keys[:1500]).sum() <= 1
 
 
+def test_rare_lines_that_a_filter_mistakes_are_kept(spark):
+    """Filters that hold lines of five documents and more, under a threshold of ten."""
+    rows = [(i, f"common {i % 20}\nrare {i % 90}\nalso rare {i}", "en", "a") for i in range(600)]
+    docs = spark.createDataFrame(rows, DOCS)
+    state = replace(line_dedup.start(docs, min_docs=5), min_docs=10)
+    expected = sorted((i, f"rare {i % 90}\nalso rare {i}", 1) for i in range(600))
+    cleaned = line_dedup.clean(docs, state).collect()
+    assert sorted((r.doc_id, r.text, r.n_dropped) for r in cleaned) == expected
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_with_a_hot_key(spark, how):
+    rows = spark.range(6000).selectExpr("id", "if(id % 3 = 0, id, if(id % 3 = 1, 0, null)) AS k")
+    lookup = stored(rows.where("k % 2 = 0").groupBy("k").agg(F.count("*").alias("n")), "lookup")
+    lookup = stored(lookup.withColumn("v", F.col("k") * 2), "lookup")
+    joined = join_hot(rows, lookup, ["k"], "n", F.col("id"), how)
+    plain = rows.join(lookup.drop("n"), "k", how).select(*joined.columns)
+    assert sorted(joined.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
 # WARC
 
 
