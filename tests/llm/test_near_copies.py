@@ -1,0 +1,48 @@
+"""The near-dedup stage: copies with a few changed words, which differ in more than three bits."""
+
+import random
+
+import corpus_pipeline
+from plantlens.llm import near_copies, simhash
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def similarity(a, b):
+    one, two = (set(near_copies.gram_hashes(t.encode()).tolist()) for t in (a, b))
+    return len(one & two) / len(one | two)
+
+
+def test_stage_joins_all_texts_at_the_bound(spark):
+    rng = random.Random(4)
+    rows = []
+    for group in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        rows.append(" ".join(words))
+        for _ in range(9):
+            other = list(words)
+            for place in rng.sample(range(300), rng.randrange(1, 14)):
+                other[place] = f"x{rng.randrange(5000)}"
+            rows.append(" ".join(other))
+    rows += ["", " ", "two words", "Two  words"]
+    far = sum(
+        similarity(a, b) >= 0.8
+        and ((simhash.fingerprint(a.encode()) ^ simhash.fingerprint(b.encode())) & (2**64 - 1)).bit_count() > 3
+        for a in rows[:10] for b in rows[:10]
+    )
+    assert far
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(rows):
+        for j in range(i):
+            if similarity(a, rows[j]) >= 0.8:
+                low, high = sorted((root(i), root(j)))
+                parent[high] = low
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(rows)], DOCS)
+    kept = corpus_pipeline.dedup_documents(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(len(rows)) if root(i) == i]
