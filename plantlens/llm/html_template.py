@@ -49,12 +49,14 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "xmp"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "xmp"}
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.IGNORECASE) for name in RAW}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp "
-    "s samp small span strike strong sub sup time tt u var wbr".split()
+    "s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover "
+    "mstyle mpadded mphantom menclose semantics annotation".split()
 )
 # A start tag of the key ends an open element of the values.
 ENDS = {
@@ -164,6 +166,8 @@ def events(page: str) -> Iterator[tuple[str, Element, str]]:
             continue
         own = attributes(rest)
         above = stack[-1]
+        if tag == "svg" and rest.endswith("/"):
+            continue
         if tag in RAW:
             closing = RAW_END[tag].search(page, at)
             at = closing.end() if closing else end
