@@ -5,8 +5,9 @@ prefix of equal turns is rendered once as the prompt. The turns behind it are th
 rendered with the spans (code points, end exclusive) on which a loss applies: the text and the end
 mark of the turns of `trained` roles. A prompt never ends inside a turn.
 
-A conversation is held whole in one row, like a document. A repeated turn number keeps the turn
-with the smallest role, then text; null turn numbers sort first. Null roles and texts are rendered
+A conversation is held whole in one row, like a document. Different turns with the same number are
+all kept, by role, then text; equal ones count once. Null turn numbers sort first. A row without a
+conversation id is a conversation of its own. Null roles and texts are rendered
 as empty strings and equal each other. Identical sides give two empty completions and `differs`
 false. Conversations without turns render as empty strings. Extra columns of the conversations are
 not passed on.
@@ -31,11 +32,13 @@ def conversations(
         F.coalesce(F.col(role), F.lit("")).alias("role"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    first = clean.groupBy(conv, "turn").agg(F.min(F.struct("role", "text")).alias("said"))
-    listed = first.groupBy(conv).agg(
-        F.array_sort(F.collect_list(F.struct("turn", "said"))).alias("_all")
+    known = clean.where(F.col(conv).isNotNull()).distinct()
+    listed = known.groupBy(conv).agg(
+        F.array_sort(F.collect_list(F.struct("turn", F.struct("role", "text").alias("said")))).alias("_all")
     )
-    return listed.select(conv, F.col("_all.said").alias("turns"))
+    alone = clean.where(F.col(conv).isNull())
+    turns_of = listed.select(conv, F.col("_all.said").alias("turns"))
+    return turns_of.union(alone.select(conv, F.array(F.struct("role", "text")).alias("turns")))
 
 
 def common_prefix(chosen: Column, rejected: Column) -> Column:
