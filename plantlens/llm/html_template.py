@@ -6,7 +6,8 @@ form an equivalence class. A class belongs to the template if it occurs on most
 different pages, at least `MIN_PAGES`, and nests: the parent of each of its tokens is in a class
 that belongs to it, or in its own. What is left between the template's tokens are slots. Text of the template is
 dropped, and so are slots inside menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments, told by tag, role, class and id. If the template has an article or main element
+reader comments, told by tag and role. A class or id that is as a whole such a name counts as well,
+unless its element has most of the text of its article, or of the page outside the template. If the template has an article or main element
 once on every page, only slots inside it are extracted; else, and on hosts with too few pages, an
 article or main element of the page itself; else all slots that remain.
 
@@ -77,13 +78,19 @@ DROPPED_TAGS = set(
     "head nav aside form footer select button dialog object audio video canvas menu datalist".split()
 )
 DROPPED_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu".split())
+# Names are whole classes or ids, alone or made of such words and numbers only.
+FURNITURE = (
+    r"(?:ads?|advert\w*|banner\w*|breadcrumbs?|comments?|consent|cookies?|disqus|footer|gdpr|menu\w*|"
+    r"modal|nav|navbar|navigation|newsletter|notices?|popup|promo\w*|related|sharing|share|sidebar|"
+    r"social|sponsor\w*|subscribe|widget)"
+)
+BESIDE = r"(?:site|page|main|top|bottom|left|right|primary|secondary|global|box|list|bar|links?|posts?|area|section|\d+)"
 DROPPED_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner\w*|breadcrumbs?|comments?|consent|cookies?|disqus|footer|"
-    r"gdpr|menu\w*|modal|nav|navbar|navigation|newsletter|notices?|popup|promo\w*|related|sharing|"
-    r"share|sidebar|social|sponsor\w*|subscribe|widget)(?=$|[\s_-])",
-    re.IGNORECASE,
+    rf"(?:^|\s)(?:{BESIDE}[_-])*{FURNITURE}(?:[_-](?:{FURNITURE}|{BESIDE}))*(?=$|\s)", re.IGNORECASE
+)
+OUTER_NAMES = re.compile(
+    rf"(?:^|\s)(?:{BESIDE}[_-])*(?:header|masthead|topbar)(?:[_-]{BESIDE})*(?=$|\s)", re.IGNORECASE
 )
-OUTER_NAMES = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?=$|[\s_-])", re.IGNORECASE)
 NEVER_DROPPED = {"html", "body", "article", "main"}
 TOKEN_FIELDS = "host string, page long, token long, parent long, is_text boolean, is_main boolean, n int"
 TEMPLATE_FIELDS = "host string, pages long, main array<long>, fixed array<long>"
@@ -97,33 +104,64 @@ def attributes(raw: str) -> dict[str, str]:
 
 
 def is_dropped(tag: str, own: dict[str, str], in_article: bool) -> bool:
-    """Whether an element is furniture of the page."""
+    """Whether an element is furniture of the page, by its tag or role."""
     if tag in DROPPED_TAGS or tag == "header" and not in_article:
         return True
     if not own:
         return False
-    names = f"{own.get('class', '')} {own.get('id', '')}"
     if tag in NEVER_DROPPED and not (tag == "article" and in_article):
         return False
     if own.get("role", "").lower() in DROPPED_ROLES or "hidden" in own:
         return True
-    if own.get("aria-hidden", "").lower() == "true" or DROPPED_NAMES.search(names):
-        return True
-    return not in_article and bool(OUTER_NAMES.search(names))
+    return own.get("aria-hidden", "").lower() == "true"
+
+
+def is_named(tag: str, own: dict[str, str], in_article: bool) -> bool:
+    """Whether class or id speak for furniture, which is weak evidence."""
+    if not own or tag in NEVER_DROPPED and not (tag == "article" and in_article):
+        return False
+    names = f"{own.get('class', '')} {own.get('id', '')}"
+    return bool(DROPPED_NAMES.search(names) or not in_article and OUTER_NAMES.search(names))
 
 
 def is_main(tag: str, own: dict[str, str]) -> bool:
     return tag in ("article", "main") or own.get("role", "").lower() in ("main", "article")
 
 
+class Scope:
+    """The page, an article or an element named like furniture, with the size of its text."""
+
+    __slots__ = ("above", "article", "named", "size", "depth", "gone")
+
+    def __init__(self, above: Scope | None, article: Scope | None, named: bool):
+        self.above, self.article, self.named = above, article or self, named
+        self.size, self.depth, self.gone = 0, above.depth + 1 if above else 0, False
+
+
+def weigh(scopes: set[Scope]) -> None:
+    """Set `gone` where a name here or above counts: at most half of the article's or page's text."""
+    known: set[Scope] = set()
+    for scope in scopes:
+        while scope is not None and scope not in known:
+            known.add(scope)
+            scope = scope.above
+    ordered = sorted(known, key=lambda scope: scope.depth)
+    for scope in reversed(ordered):
+        if scope.above:
+            scope.above.size += scope.size
+    for scope in ordered:
+        small = scope.named and 2 * scope.size <= scope.article.size
+        scope.gone = small or scope.above is not None and scope.above.gone
+
+
 class Element:
     """An open element; `path` is the hash of its path, `main` has those of its articles."""
 
-    __slots__ = ("tag", "path", "parent", "dropped", "main")
+    __slots__ = ("tag", "path", "parent", "dropped", "main", "scope")
 
-    def __init__(self, tag: str, path: int, parent: int, dropped: bool, main: frozenset):
+    def __init__(self, tag: str, path: int, parent: int, dropped: bool, main: frozenset, scope: Scope):
         self.tag, self.path, self.parent = tag, path, parent
-        self.dropped, self.main = dropped, main
+        self.dropped, self.main, self.scope = dropped, main, scope
 
 
 def hash_of(parent: int, name: str) -> int:
@@ -132,7 +170,7 @@ def hash_of(parent: int, name: str) -> int:
 
 def events(page: str) -> Iterator[tuple[str, Element, str]]:
     """('open', element, ''), ('break', element, '') and ('text', element, raw text)."""
-    root = Element("", 0, 0, False, frozenset())
+    root = Element("", 0, 0, False, frozenset(), Scope(None, None, False))
     stack = [root]
     at, end = 0, len(page)
     while at < end:
@@ -181,9 +219,13 @@ def events(page: str) -> Iterator[tuple[str, Element, str]]:
             above.path,
             above.dropped or is_dropped(tag, own, bool(above.main)),
             above.main,
+            above.scope,
         )
+        if is_named(tag, own, bool(above.main)):
+            element.scope = Scope(above.scope, above.scope.article, True)
         if is_main(tag, own):
             element.main = above.main | {element.path}
+            element.scope = Scope(element.scope, None, False)
         stack.append(element)
         yield "open", element, ""
 
@@ -214,7 +256,9 @@ def imply_ends(stack: list[Element], tag: str) -> None:
                 break
     if tag in ("article", "main"):
         # These never stand inside furniture that someone forgot to close.
-        while len(stack) > 1 and stack[-1].dropped and stack[-1].tag not in ("aside", "article"):
+        while len(stack) > 1 and stack[-1].tag not in ("aside", "article"):
+            if not (stack[-1].dropped or stack[-1].scope.named):
+                break
             stack.pop()
 
 
@@ -237,14 +281,17 @@ def page_tokens(page: str) -> dict[int, list]:
 def main_text(page: str, main: frozenset[int], fixed: frozenset[int]) -> str:
     """The text of the slots that remain."""
     slots: list[tuple[Element, str]] = []
-    any_main = False
     for kind, element, value in events(page):
         if kind == "text":
             if not element.dropped:
                 slots.append((element, value))
-                any_main = any_main or bool(element.main)
+                if not fixed or text_token(element, value) not in fixed:
+                    element.scope.size += len("".join(value.split()))
         elif kind == "break":
             slots.append((element, ""))
+    weigh({e.scope for e, _ in slots})
+    slots = [(e, value) for e, value in slots if not value or not e.scope.gone]
+    any_main = any(e.main for e, value in slots if value)
     inside = bool(main) and any(e.main & main for e, _ in slots)
     blocks: list[list[str]] = [[]]
     for element, value in slots:
