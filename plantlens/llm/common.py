@@ -73,17 +73,19 @@ def map_texts(
     fields: list[T.StructField],
     compute: Callable[[list[bytes]], list],
     keep: bool = True,
+    cast: str | None = "binary",
 ) -> DataFrame:
     """Add `fields`, computed from the UTF-8 bytes of a text column, a few hundred rows at a time.
 
     `compute` gets the texts (null as empty) and returns one array or list per field. A field
-    named like `column` replaces it; `keep` false drops the text.
+    named like `column` replaces it; `keep` false drops the text. Without `cast` a column of another
+    type is given as it is.
     """
     names = [field.name for field in fields]
     base = without(df, names if keep else [*names, column])
     source = df.select(
         *(F.col(f"`{c}`") for c in base.columns),
-        F.col(f"`{column}`").cast("binary").alias("_bytes"),
+        (F.col(f"`{column}`").cast(cast) if cast else F.col(f"`{column}`")).alias("_bytes"),
     )
     schema = T.StructType([*base.schema.fields, *fields])
     arrow = to_arrow_schema(schema)

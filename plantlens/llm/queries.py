@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlens.llm import (
+    bpe,
     decontaminate,
     html_template,
     line_dedup,
@@ -252,3 +254,19 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_template_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_template.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+VOCABULARY = "word_bpe_49k.json"
+
+
+@query("op11_bpe")
+def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(VOCABULARY)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, path, binary=True, keep=False), path)
+    return coded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
