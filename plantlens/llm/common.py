@@ -38,6 +38,14 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in taken))
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """`name`, made longer until none of the frames has a column of that name."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def join_hot(
     rows: DataFrame, lookup: DataFrame, key: list[str], count: str, spread: Column, how: str
 ) -> DataFrame:
@@ -50,16 +58,17 @@ def join_hot(
     """
     total = lookup.agg(F.sum(count)).first()[0] or 0
     limit = max(1000, total // HEAVY_SHARE)
-    salts = F.ceil(F.col(count) / F.lit(limit)).cast("int").alias("_salts")
-    heavy = lookup.where(F.col(count) > limit).select(*key, salts)
+    salt, salts = fresh("_salt", rows, lookup), fresh("_salts", rows, lookup)
+    shares_of_key = F.ceil(F.col(count) / F.lit(limit)).cast("int").alias(salts)
+    heavy = lookup.where(F.col(count) > limit).select(*key, shares_of_key)
     salted = rows.join(F.broadcast(heavy), key, "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int"), F.lit(0))
+        salt, F.coalesce(F.pmod(F.xxhash64(spread), F.col(salts)).cast("int"), F.lit(0))
     )
     shares = F.when(
         F.col(count) > limit, F.sequence(F.lit(0), F.ceil(F.col(count) / F.lit(limit)).cast("int") - 1)
     ).otherwise(F.array(F.lit(0)))
-    repeated = lookup.withColumn("_salt", F.explode(shares)).drop(count)
-    return salted.drop("_salts").join(repeated, [*key, "_salt"], how).drop("_salt")
+    repeated = lookup.withColumn(salt, F.explode(shares)).drop(count)
+    return salted.drop(salts).join(repeated, [*key, salt], how).drop(salt)
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -83,9 +92,9 @@ def map_texts(
     """
     names = [field.name for field in fields]
     base = without(df, names if keep else [*names, column])
+    given = F.col(f"`{column}`").cast(cast) if cast else F.col(f"`{column}`")
     source = df.select(
-        *(F.col(f"`{c}`") for c in base.columns),
-        (F.col(f"`{column}`").cast(cast) if cast else F.col(f"`{column}`")).alias("_bytes"),
+        *(F.col(f"`{c}`") for c in base.columns), given.alias(fresh("_bytes", df))
     )
     schema = T.StructType([*base.schema.fields, *fields])
     arrow = to_arrow_schema(schema)

@@ -18,6 +18,7 @@ from plantlens.llm import (
     simhash,
     toxicity,
     warc_zip,
+    whitening,
 )
 from plantlens.llm.common import table
 from plantlens.registry.core import Query
@@ -270,3 +271,13 @@ def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op12_whitening")
+def whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    rows = whitening.by_component(whitening.apply_whitening(vectors, model, keep=False), model)
+    return rows.select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
