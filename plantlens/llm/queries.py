@@ -13,6 +13,7 @@ from plantlens.llm import (
     line_dedup,
     mixing,
     preference,
+    prefix_trie,
     quality_rules,
     sanitise,
     simhash,
@@ -281,3 +282,57 @@ def whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
     )
+
+
+TRIE_SQL = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(text, '') AS said,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+spoken AS (
+  SELECT conv_id, list(struct_pack(digest := digest, n_bytes := strlen(said))
+                       ORDER BY turn NULLS FIRST, digest) AS own
+  FROM said GROUP BY conv_id),
+begun AS (
+  SELECT conv_id, own, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+      string_split(CAST(conv_id AS VARCHAR), ''),
+      lambda x: list_prepend(CAST(ascii(x) AS BIGINT), [-1, -1, -1, -1, -1, -1, -1, -1])))),
+    lambda crc, s: CASE WHEN s >= 0 THEN xor(crc, s) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384)
+                        ELSE crc >> 1 END)) % 9 AS h
+  FROM spoken),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own, [])[1:c.h], c.own[c.h + 1:]) AS turns
+  FROM begun c LEFT JOIN spoken b ON b.conv_id = c.conv_id - c.conv_id % 5),
+members AS (
+  SELECT conv_id, d AS depth, d = len(turns) AS is_end,
+         array_to_string(list_transform(turns[1:d], lambda t: t.digest), ',') AS node,
+         array_to_string(list_transform(turns[1:d - 1], lambda t: t.digest), ',') AS parent,
+         CASE WHEN d = 0 THEN 0 ELSE turns[d].n_bytes END AS n_bytes
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT depth, node, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * max(n_bytes) AS own_saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (is_end), ''))
+           AS ends_sha256
+  FROM members GROUP BY depth, node),
+children AS (
+  SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children
+  FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+counted AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children
+  FROM nodes n LEFT JOIN children USING (depth, node)),
+upward AS (
+  SELECT m.depth, m.node, sum(CAST(c.n_children = 0 AS BIGINT)) AS n_leaves, sum(c.own_saved) AS saved
+  FROM counted c JOIN members m ON m.conv_id = c.conv_id AND m.depth <= c.depth
+  GROUP BY m.depth, m.node)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+       CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN upward u USING (depth, node)
+LEFT JOIN nodes p ON c.depth > 0 AND p.depth = c.depth - 1 AND p.node = c.parent
+"""
+
+
+@query("op13_prefix_trie", TRIE_SQL)
+def prefix_trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_in_order(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns, every=5, most=9))

@@ -49,7 +49,7 @@ def texts(connection, table="documents", key="doc_id", column="text"):
 
 def test_all_are_registered():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in LLM_QUERIES]
-    assert sorted(numbers) == list(range(1, 13))
+    assert sorted(numbers) == list(range(1, 14))
     assert {*LLM_QUERIES, "pipeline"} <= set(entry_point.queries())
 
 
