@@ -8,8 +8,9 @@ phrases are searched backward at once by ranks, their occurrences located by ste
 sampled position, and the spans of a document merged. Nothing is shuffled.
 
 The phrases are the stated query set: all runs of `size` words of an item, or the whole item if it
-is shorter. They are broadcast in blocks of at most `BLOCK_BYTES` of item text (one item at least);
-each block is another pass, after which the rows are stored.
+is shorter. They are broadcast in blocks of at most about `BLOCK_BYTES` of item text (one item at
+least), as arrays of some ten times that size; each block is another pass, after which the rows are
+stored.
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lowering A-Z. Null and empty texts have no
 words; items without words match nothing. Items with a null id count as one item whose id is the
@@ -34,7 +35,7 @@ from plantlens.llm.common import slices, stored, without
 
 WINDOW = 13
 SHARD_BYTES = 16 << 20
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 3 << 20
 SAMPLE_EVERY = 8
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 KEPT = bytes(
@@ -136,27 +137,40 @@ class FMIndex:
 
 @dataclass(frozen=True)
 class Phrases:
-    """Distinct phrases as symbol rows, and the items of each."""
+    """Distinct phrases as symbol rows, and the items of each: items[owners[starts[i]:starts[i + 1]]]."""
 
     vocabulary: dict[bytes, int]
     rows: np.ndarray
     lengths: np.ndarray
-    items: list[tuple[str, ...]]
+    items: list[str]
+    starts: np.ndarray
+    owners: np.ndarray
 
     @classmethod
     def of(cls, items: list[tuple[str, bytes]], size: int) -> Phrases:
-        found: dict[tuple[bytes, ...], set[str]] = {}
+        vocabulary: dict[bytes, int] = {}
+        names = sorted({item for item, _ in items})
+        number = {item: i for i, item in enumerate(names)}
+        windows, owners = [np.zeros((0, size), np.int32)], [np.zeros(0, np.int32)]
         for item, text in items:
             words = words_of(text)
-            for begin in range(max(1, len(words) - size + 1) if words else 0):
-                found.setdefault(tuple(words[begin : begin + size]), set()).add(item)
-        seen = sorted({word for phrase in found for word in phrase})
-        vocabulary = {word: i for i, word in enumerate(seen, start=2)}
-        rows = np.zeros((len(found), max(map(len, found), default=1)), dtype=np.int64)
-        for row, phrase in zip(rows, found, strict=True):
-            row[: len(phrase)] = [vocabulary[word] for word in phrase]
-        lengths = np.array([len(phrase) for phrase in found], dtype=np.int64)
-        return cls(vocabulary, rows, lengths, [tuple(sorted(ids)) for ids in found.values()])
+            if not words:
+                continue
+            ids = np.array([vocabulary.setdefault(w, len(vocabulary) + 2) for w in words], np.int32)
+            ids = np.pad(ids, (0, max(0, size - len(ids))))
+            windows.append(np.lib.stride_tricks.sliding_window_view(ids, size))
+            owners.append(np.full(len(windows[-1]), number[item], np.int32))
+        rows, which = np.unique(np.concatenate(windows), axis=0, return_inverse=True)
+        pairs = np.unique(np.column_stack([which.reshape(-1), np.concatenate(owners)]), axis=0)
+        starts = np.searchsorted(pairs[:, 0], np.arange(len(rows) + 1))
+        return cls(vocabulary, rows, (rows > 0).sum(axis=1), names, starts, pairs[:, 1].astype(np.int32))
+
+    def items_of(self, phrase: int) -> list[str]:
+        return [self.items[i] for i in self.owners[self.starts[phrase] : self.starts[phrase + 1]]]
+
+    def parts(self) -> tuple:
+        """What `Phrases(*parts)` is made of again on an executor."""
+        return self.vocabulary, self.rows, self.lengths, self.items, self.starts, self.owners
 
 
 def runs(words: list[bytes], vocabulary: dict[bytes, int], least: int) -> tuple[np.ndarray, ...]:
@@ -204,19 +218,24 @@ def search_shard(texts: list[bytes], phrases: Phrases) -> tuple[list[int], dict[
             spans[-1][1] = max(spans[-1][1], end)
         else:
             spans.append([start, end])
-        ids.update(phrases.items[which[i]])
+        ids.update(phrases.items_of(int(which[i])))
     return n_words, hits
 
 
 def text_spans(text: bytes, word_spans: list[list[int]]) -> list[dict[str, int]]:
     """Spans of words as spans of code points."""
-    words = [m.span() for m in WORD.finditer(text.decode().translate(LOWER))]
+    words = [m.span() for m in WORD.finditer(as_read(text).translate(LOWER))]
     return [{"start": words[b][0], "end": words[e - 1][1]} for b, e in word_spans]
 
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 
 
+def as_read(text: bytes) -> str:
+    """A text by code points; each byte that is not UTF-8 is one."""
+    return text.decode("utf-8", "surrogateescape")
+
+
 def merge(spans: list[dict[str, int]]) -> list[dict[str, int]]:
     out: list[dict[str, int]] = []
     for span in sorted(spans, key=lambda s: s["start"]):
@@ -267,10 +286,14 @@ def _search(docs: DataFrame, phrases: Phrases, text: str, first: bool) -> DataFr
     arrow = to_arrow_schema(schema)
     kinds = [arrow.field(name).type for name in names]
     n_kept = len(base.columns)
-    shared = docs.sparkSession.sparkContext.broadcast(phrases)
+    # A broadcast is of plain values: a class in it would have to be installed on the executors.
+    shared = docs.sparkSession.sparkContext.broadcast(phrases.parts())
+    opened: list[Phrases] = []
 
     def answer(parts: list[pa.RecordBatch], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        n_words, hits = search_shard(texts, shared.value)
+        if not opened:
+            opened.append(Phrases(*shared.value))
+        n_words, hits = search_shard(texts, opened[0])
         at = 0
         for part in parts:
             rows = range(at, at + part.num_rows)
@@ -284,7 +307,7 @@ def _search(docs: DataFrame, phrases: Phrases, text: str, first: bool) -> DataFr
                 spans = [merge(a + b) for a, b in zip(spans, old_spans, strict=True)]
                 n_hit = [
                     sum(
-                        len(WORD.findall(texts[i].decode().translate(LOWER)[s["start"] : s["end"]]))
+                        len(WORD.findall(as_read(texts[i]).translate(LOWER)[s["start"] : s["end"]]))
                         for s in own
                     )
                     for i, own in zip(rows, spans, strict=True)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from plantlens.llm.common import join_hot, slices, stored, stored_bytes, without
+from plantlens.llm.common import fresh, join_hot, slices, stored, stored_bytes, without
 
 MIN_PAGES = 4
 MOST = 0.8
@@ -390,16 +390,19 @@ def extract(
     """`pages` with `text` and `n_chars`; the html column is kept."""
     learned = deduce_templates(pages, html, url) if templates is None else templates
     base = without(pages, ["text", "n_chars"])
-    hosted = base.withColumn("_host", host_of(F.col(url)))
-    keyed = learned.select(F.col("host").alias("_host"), F.col("main").alias("_main"), F.col("fixed").alias("_fixed"))
+    host, main, fixed, n_pages, page = (
+        fresh(name, base) for name in ("_host", "_main", "_fixed", "_pages", "_html")
+    )
+    hosted = base.withColumn(host, host_of(F.col(url)))
+    keyed = learned.select(F.col("host").alias(host), F.col("main").alias(main), F.col("fixed").alias(fixed))
     if stored_bytes(learned) <= BROADCAST_BYTES:
-        joined = hosted.join(F.broadcast(keyed), "_host", "left")
+        joined = hosted.join(F.broadcast(keyed), host, "left")
     else:
-        counts = hosted.groupBy("_host").agg(F.count("*").alias("_n"))
-        lookup = stored(counts.join(keyed, "_host"), "templates")
-        joined = join_hot(hosted, lookup, ["_host"], "_n", F.xxhash64(html), "left")
+        counts = hosted.groupBy(host).agg(F.count("*").alias(n_pages))
+        lookup = stored(counts.join(keyed, host), "templates")
+        joined = join_hot(hosted, lookup, [host], n_pages, F.xxhash64(html), "left")
     rest = base.columns
-    ordered = joined.select(*(F.col(f"`{c}`") for c in rest), F.col(f"`{html}`").alias("_html"), "_main", "_fixed")
+    ordered = joined.select(*(F.col(f"`{c}`") for c in rest), F.col(f"`{html}`").alias(page), main, fixed)
     schema = T.StructType(
         [*base.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
     )

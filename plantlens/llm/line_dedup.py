@@ -13,7 +13,7 @@ are then joined to the counts, with hot lines salted.
 
 A line's key is the line without ASCII white space at both ends, A-Z in lower case. Each row counts
 as one document, also where rows repeat. Null and empty texts have one empty line; empty keys are
-never counted nor dropped. Input columns named like an output column are replaced.
+never counted nor dropped. Bytes that are not UTF-8 come out as U+FFFD. Input columns named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantlens.llm.common import join_hot, map_texts, slices, stored, without
+from plantlens.llm.common import fresh, join_hot, map_texts, slices, stored, without
 
 BROADCAST_BYTES = 128 << 20
 KEYS_PER_SHARD = 1 << 16
@@ -255,25 +255,30 @@ def clean(
     if size > max_broadcast:
         return _clean_by_join(docs, state, text)
     blobs = {row["shard"]: bytes(row["slots"]) for row in state.filters.collect()}
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(ShardedFilters(blobs, state.shards))
+    # Broadcasts are of plain values: classes in them would have to be installed on the executors.
+    shared, n_shards = docs.sparkSession.sparkContext.broadcast(blobs), state.shards
 
     def mistaken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters = ShardedFilters(shared.value, n_shards)
         for batch in batches:
             both = np.column_stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
-            yield batch.filter(pa.array(shared.value.contains(both)))
+            yield batch.filter(pa.array(filters.contains(both)))
 
     rare = state.counts.where(F.col("n") < state.min_docs).select("h1", "h2")
-    wrong = rare.mapInArrow(mistaken, "h1 long, h2 long").limit(max_broadcast // 100).collect()
-    if len(wrong) == max_broadcast // 100:
+    most = max_broadcast // 1000
+    wrong = rare.mapInArrow(mistaken, "h1 long, h2 long").limit(most).collect()
+    if len(wrong) == most:
         return _clean_by_join(docs, state, text)
     exceptions = {(row["h1"], row["h2"]) for row in wrong}
+    opened: list[ShardedFilters] = []
 
     def compute(texts: list[bytes]) -> list:
+        if not opened:
+            opened.append(ShardedFilters(shared.value, n_shards))
         split = [line_keys(t) for t in texts]
         keys = [key for _, own in split for key in own]
         hashes = key_hashes(keys)
-        hit = shared.value.contains(hashes)
+        hit = opened[0].contains(hashes)
         if exceptions:
             for i in np.flatnonzero(hit):
                 hit[i] = (int(hashes[i, 0]), int(hashes[i, 1])) not in exceptions
@@ -282,7 +287,7 @@ def clean(
             dropped = hit[at : at + len(lines)]
             at += len(lines)
             gone = [d and bool(k) for d, k in zip(dropped.tolist(), own, strict=True)]
-            kept.append(b"\n".join([x for x, g in zip(lines, gone, strict=True) if not g]).decode())
+            kept.append(b"\n".join([x for x, g in zip(lines, gone, strict=True) if not g]).decode("utf-8", "replace"))
             n_lines.append(len(lines))
             n_dropped.append(sum(gone))
         return [kept, n_lines, n_dropped]
@@ -300,8 +305,9 @@ def _fields(text: str) -> list[T.StructField]:
 
 def _clean_by_join(docs: DataFrame, state: LineState, text: str) -> DataFrame:
     """The same by a join of all lines to the counts."""
-    rest = without(docs, ["n_lines", "n_dropped", "_row"])
-    numbered = stored(rest.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    rest = without(docs, ["n_lines", "n_dropped"])
+    row_id, gone_lines = fresh("_row", rest), fresh("_gone", rest)
+    numbered = stored(rest.withColumn(row_id, F.monotonically_increasing_id()), "numbered")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,11 +324,14 @@ def _clean_by_join(docs: DataFrame, state: LineState, text: str) -> DataFrame:
                 )
 
     text_bytes = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-    lines = numbered.select("_row", text_bytes).mapInArrow(run, "_row long, h1 long, h2 long")
+    lines = numbered.select(row_id, text_bytes).mapInArrow(run, "_row long, h1 long, h2 long")
     frequent = stored(state.counts.where(F.col("n") >= state.min_docs).select("h1", "h2", "n"), "f")
     hits = join_hot(lines, frequent, ["h1", "h2"], "n", F.col("_row"), "inner")
-    gone = hits.groupBy("_row").agg(F.collect_list(F.struct("h1", "h2")).alias("_gone"))
-    marked = numbered.join(gone, "_row", "left").drop("_row")
+    gone = hits.groupBy(F.col("_row").alias(row_id)).agg(
+        F.collect_list(F.struct("h1", "h2")).alias(gone_lines)
+    )
+    bytes_of = {text: F.col(f"`{text}`").cast("binary")}
+    marked = numbered.join(gone, row_id, "left").drop(row_id).withColumns(bytes_of)
     kept = [c for c in rest.columns if c != text]
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,10 +339,10 @@ def _clean_by_join(docs: DataFrame, state: LineState, text: str) -> DataFrame:
             for part in slices(batch):
                 names = part.schema.names
                 out, n_lines, n_dropped = [], [], []
-                gone = part.column(names.index("_gone")).to_pylist()
+                gone = part.column(names.index(gone_lines)).to_pylist()
                 texts = part.column(names.index(text)).to_pylist()
                 for value, own in zip(texts, gone, strict=True):
-                    lines, keys = line_keys((value or "").encode())
+                    lines, keys = line_keys(value or b"")
                     bad = {(x["h1"], x["h2"]) for x in own or []}
                     hashes = key_hashes(keys).tolist()
                     stay = [
@@ -341,7 +350,7 @@ def _clean_by_join(docs: DataFrame, state: LineState, text: str) -> DataFrame:
                         for line, key, h in zip(lines, keys, hashes, strict=True)
                         if not key or tuple(h) not in bad
                     ]
-                    out.append(b"\n".join(stay).decode())
+                    out.append(b"\n".join(stay).decode("utf-8", "replace"))
                     n_lines.append(len(lines))
                     n_dropped.append(len(lines) - len(stay))
                 columns = [part.column(names.index(c)) for c in kept]

@@ -18,12 +18,13 @@ Input columns named like an output column are replaced. An empty table stays emp
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import join_hot, stored, stored_bytes, without
+from plantlens.llm.common import fresh, join_hot, stored, stored_bytes, without
 
 BROADCAST_BYTES = 64 << 20
 MAX_ROUNDS = 40
@@ -54,6 +55,16 @@ def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
 
 
+def cell_key(names: list[str]) -> Column:
+    """One string for the values of a cell, never the same for two cells: null, or length and value."""
+
+    def part(name: str) -> Column:
+        value = F.col(f"`{name}`").cast("string")
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+    return F.concat(*map(part, names))
+
+
 def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     """Target shares in proportion to a power of the tokens of each value: value, share."""
     sums = cells.groupBy(dimension).agg(F.sum("tokens").alias("_sum"))
@@ -67,7 +78,9 @@ def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
 def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """`cells` with `weight`: shares that sum to 1 and meet the target shares of every dimension.
 
-    `targets` has for each dimension a frame of its values and their `share`.
+    `targets` has for each dimension a frame of its values and their `share`. If no weights meet them
+    all, as when a value occurs with one other only, those of the last round go out with a warning
+    that gives the largest gap that is left.
     """
     aims = {
         name: stored(aim.select(F.col(name), F.col("share").alias("_aim")), f"aim-{name}")
@@ -95,6 +108,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
         now = now.drop(*(f"_gap_{name}" for name in aims))
         if worst < TOLERANCE:
             break
+    else:
+        warnings.warn(f"target shares not met after {MAX_ROUNDS} rounds: off by {worst:.2g}", stacklevel=2)
     sums = now.agg(F.sum("weight")).first()[0] or 1.0
     return now.withColumn("weight", F.col("weight") / F.lit(float(sums)))
 
@@ -115,7 +130,8 @@ def mix(
     ones. Without `topic` it is told by TOPICS from the text.
     """
     told = F.coalesce(topic if topic is not None else topic_of(F.col(text)), F.lit("prose"))
-    marked = without(docs.withColumn("_topic", told), ADDED).withColumnRenamed("_topic", "topic")
+    name = fresh("_topic", docs)
+    marked = without(docs.withColumn(name, told), ADDED).withColumnRenamed(name, "topic")
     marked = marked.withColumn("n_tokens", tokens_of(F.col(text)))
     names = [*{**powers, **(targets or {})}]
     cells = stored(
@@ -135,10 +151,10 @@ def mix(
         for name in names:
             mixed = mixed.drop(right[name])
     else:
-        keyed = [F.struct(*names).cast("string").alias("_cell")]
-        lookup = stored(chances.select(*keyed, "n", "probability"), "chances")
-        cell = marked.withColumn("_cell", keyed[0])
-        mixed = join_hot(cell, lookup, ["_cell"], "n", F.col(doc_id), "inner").drop("_cell")
+        key = fresh("_cell", marked)
+        lookup = stored(chances.select(cell_key(names).alias(key), "n", "probability"), "chances")
+        keyed = marked.withColumn(key, cell_key(names))
+        mixed = join_hot(keyed, lookup, [key], "n", F.col(doc_id), "inner").drop(key)
     whole = F.floor("probability")
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)), 11) / F.lit(2.0**53)
     return mixed.withColumn(

@@ -155,8 +155,8 @@ def verdict(rules: list[Rule]) -> Column:
     """True where no rule rejects; the rules are asked in order."""
     out = None
     for rule in rules:
-        out = (out or F).when(rule.expression(), F.lit(False))
-    return out.otherwise(F.lit(True)) if rules else F.lit(True)
+        out = (F if out is None else out).when(rule.expression(), F.lit(False))
+    return F.lit(True) if out is None else out.otherwise(F.lit(True))
 
 
 def describe(rules: list[Rule]) -> list[str]:

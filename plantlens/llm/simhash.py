@@ -232,9 +232,13 @@ def near_duplicates(
         "label", F.coalesce("label", "simhash")
     )
     linked = stored(joined.select("simhash", "least_id", "label", "n"), "classes")
-    reached = linked.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    answer = stored(
-        linked.join(reached, "label").select("simhash", "component_id", "n"), "components"
+    reached = stored(
+        linked.groupBy("label").agg(
+            F.min("least_id").alias("component_id"), F.count("*").alias("members")
+        ),
+        "reached",
     )
+    found = join_hot(linked, reached, ["label"], "members", F.col("simhash"), "inner")
+    answer = stored(found.select("simhash", "component_id", "n"), "components")
     rows = marked if keep else ids
     return join_hot(rows, answer, ["simhash"], "n", F.col(doc_id), "inner")
