@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import decontaminate, line_dedup, mixing, near_copies, quality_rules
+from plantlens.llm import decontaminate, line_dedup, mixing, quality_rules, simhash
 from plantlens.llm.common import stored, table
 from plantlens.registry.core import Query
 from plantlens.session import use_utc
@@ -31,10 +31,14 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest doc_id."""
-    found = near_copies.near_copies(docs)
+    """One document of each group of near copies stays, that with the smallest doc_id.
+
+    Documents are near copies as `op4_simhash` says: fingerprints of three-word shingles that differ
+    in at most three bits, linked on.
+    """
+    found = simhash.near_duplicates(docs)
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return found.where(first).dropDuplicates(["doc_id", "text_key"]).select(*COLUMNS)
+    return found.where(first).dropDuplicates(["doc_id", "simhash"]).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
