@@ -19,9 +19,12 @@ replaced. An empty table stays empty.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
+import sys
 from array import array
+from collections.abc import Iterator
 from heapq import heappop, heappush
 from itertools import accumulate
 
@@ -30,7 +33,7 @@ from pyspark.sql import types as T
 
 from plantlens.llm.common import map_texts
 
-KNOWN_ENTRIES = 200_000
+KNOWN_ENTRIES = 400_000
 KNOWN_BYTES = 64
 IDS = array("I").typecode
 
@@ -71,32 +74,40 @@ class PairIndex:
 
     def __init__(self, merges: list[tuple[int, int, int]]):
         self.merges = merges
-        self.ranks = {}
+        size = 1 + max((max(merge) for merge in merges), default=0)
+        nothing: dict[int, int] = {}
+        self.ranks = [nothing] * size  # by left symbol, then by right symbol
         for rank, (left, right, _) in enumerate(merges):
-            self.ranks[left, right] = rank  # of a pair listed twice the last rank holds
+            if self.ranks[left] is nothing:
+                self.ranks[left] = {}
+            self.ranks[left][right] = rank  # of a pair listed twice the last rank holds
 
     def apply(self, words: list[list[int]]) -> list[list[int]]:
         """The words after all merges that apply to them."""
-        ranks = self.ranks
+        ranks, merges = self.ranks, self.merges
         symbols = [s for word in words for s in word]
         ends = list(accumulate(map(len, words)))
         after = list(range(1, len(symbols) + 1))
         before = list(range(-1, len(symbols) - 1))
-        begin = 0
-        for end in ends:
-            if end > begin:
-                before[begin] = after[end - 1] = -1
-            begin = end
         places: dict[int, list[int]] = {}
-        for at, nearby in enumerate(after):
-            if nearby >= 0:
-                rank = ranks.get((symbols[at], symbols[nearby]))
-                if rank is not None:
-                    places.setdefault(rank, []).append(at)
+        at = 0
+        for word, end in zip(words, ends, strict=True):
+            if at < end:
+                before[at] = after[end - 1] = -1
+                for left, right in zip(word, word[1:], strict=False):
+                    rank = ranks[left].get(right)
+                    if rank is not None:
+                        if rank in places:
+                            places[rank].append(at)
+                        else:
+                            places[rank] = [at]
+                    at += 1
+                at = end
         active = sorted(places)
         while active:
             rank = heappop(active)
-            left, right, merged = self.merges[rank]
+            left, right, merged = merges[rank]
+            follow = ranks[merged]
             listed = sorted(places.pop(rank))
             for done, at in enumerate(listed, 1):
                 gone = after[at]
@@ -107,14 +118,24 @@ class PairIndex:
                 after[at] = ahead
                 lowest = rank
                 if behind >= 0:
-                    fresh = ranks.get((symbols[behind], merged))
-                    if fresh is not None:
-                        lowest = min(lowest, self.note(places, active, fresh, behind))
+                    added = ranks[symbols[behind]].get(merged)
+                    if added is not None:
+                        if added in places:
+                            places[added].append(behind)
+                        else:
+                            places[added] = [behind]
+                            heappush(active, added)
+                        lowest = min(lowest, added)
                 if ahead >= 0:
                     before[ahead] = at
-                    fresh = ranks.get((merged, symbols[ahead]))
-                    if fresh is not None:
-                        lowest = min(lowest, self.note(places, active, fresh, at))
+                    added = follow.get(symbols[ahead])
+                    if added is not None:
+                        if added in places:
+                            places[added].append(at)
+                        else:
+                            places[added] = [at]
+                            heappush(active, added)
+                        lowest = min(lowest, added)
                 if lowest < rank and done < len(listed):
                     places.setdefault(rank, []).extend(listed[done:])
                     heappush(active, rank)
@@ -125,15 +146,6 @@ class PairIndex:
             begin = end
         return out
 
-    @staticmethod
-    def note(places: dict[int, list[int]], active: list[int], rank: int, at: int) -> int:
-        if rank in places:
-            places[rank].append(at)
-        else:
-            places[rank] = [at]
-            heappush(active, rank)
-        return rank
-
 
 class Encoder:
     """Encodes batches of texts; remembers short chunks and words."""
@@ -149,37 +161,63 @@ class Encoder:
         ordered = sorted(self.special, key=len, reverse=True)
         self.at_special = re.compile(f"({'|'.join(map(re.escape, ordered))})") if ordered else None
         self.index = PairIndex(vocabulary["merges"])
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
         self.chunks: dict[bytes, bytes] = {}
 
-    def parts(self, chunk: bytes) -> list[str | int]:
+    def parts(self, chunk: str) -> list[str | int]:
         """Words of a chunk in the vocabulary's alphabet, and ids of special tokens."""
-        text = chunk.decode("utf-8", "replace")
-        if self.at_special is None:
-            return [word for word, _ in self.cut(self.normalise(text))]
         out: list[str | int] = []
-        for piece in self.at_special.split(text):
+        for piece in self.at_special.split(chunk) if self.at_special else [chunk]:
             if piece in self.special:
                 out.append(self.special[piece])
             elif piece:
                 out += [word for word, _ in self.cut(self.normalise(piece))]
         return out
 
+    def parts_of_all(self, chunks: list[bytes]) -> Iterator[tuple[bytes, list[str | int]]]:
+        """`parts` of each chunk; all that hold no white space or special token go in one call."""
+        plain: list[tuple[bytes, str]] = []
+        for chunk in chunks:
+            text = chunk.decode("utf-8", "replace")
+            if text.split() == [text] and not (self.at_special and self.at_special.search(text)):
+                plain.append((chunk, text))
+            else:
+                yield chunk, self.parts(text)
+        normal = self.normalise("\n".join([text for _, text in plain]))
+        lengths = [len(text) for text in normal.split(" ")]
+        if len(lengths) != len(plain):  # the rules see white space, or take it away, where Python does not
+            yield from ((chunk, self.parts(text)) for chunk, text in plain)
+            return
+        words = iter(self.cut(normal))
+        word, (begin, _) = next(words, ("", (len(normal) + 1, 0)))
+        end = -1
+        for (chunk, _), length in zip(plain, lengths, strict=True):
+            end += length + 1
+            found: list[str | int] = []
+            while begin < end:
+                found.append(word)
+                word, (begin, _) = next(words, ("", (len(normal) + 1, 0)))
+            yield chunk, found
+
     def start(self, word: str) -> list[int]:
-        found = [self.symbols.get(c) for c in word[:-1]] + [self.symbols.get(word[-1] + self.suffix)]
-        return [s for s in found if s is not None]
+        found = list(map(self.symbols.get, word[:-1]))
+        found.append(self.symbols.get(word[-1] + self.suffix))
+        return [s for s in found if s is not None] if None in found else found
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [text.split() for text in texts]
-        fresh = {chunk: self.parts(chunk) for chunk in set().union(*cut) - self.chunks.keys()}
+        fresh = dict(self.parts_of_all(list(set().union(*cut) - self.chunks.keys())))
         words = list({w for parts in fresh.values() for w in parts if isinstance(w, str)} - self.words.keys())
-        self.words.update(zip(words, self.index.apply([self.start(w) for w in words]), strict=True))
+        for word, ids in zip(words, self.index.apply([self.start(w) for w in words]), strict=True):
+            self.words[word] = packed(array(IDS, ids))
         for chunk, parts in fresh.items():
-            ids = array(IDS)
-            for part in parts:
-                ids.extend(self.words[part] if isinstance(part, str) else (part,))
-            self.chunks[chunk] = packed(ids)
+            if len(parts) == 1 and isinstance(parts[0], str):
+                self.chunks[chunk] = self.words[parts[0]]
+            else:
+                self.chunks[chunk] = b"".join(
+                    [self.words[p] if isinstance(p, str) else packed(array(IDS, (p,))) for p in parts]
+                )
         out = [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in cut]
         self.forget(fresh, words)
         return out
@@ -196,16 +234,12 @@ class Encoder:
 
 
 def packed(ids: array) -> bytes:
-    import sys
-
     if sys.byteorder == "big":
         ids.byteswap()
     return ids.tobytes()
 
 
 def unpacked(ids: bytes) -> array:
-    import sys
-
     out = array(IDS)
     out.frombytes(ids)
     if sys.byteorder == "big":
@@ -221,7 +255,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", binary: bool = False,
     def compute(texts: list[bytes]) -> list:
         if not state:
             state.append(Encoder(vocabulary.value))
+            gc.freeze()
+        gc.disable()  # no cycles are made, and looking for them is a third of the work
         ids = state[0].encode(texts)
+        gc.enable()
         return [ids if binary else [unpacked(i).tolist() for i in ids]]
 
     kind = T.BinaryType() if binary else T.ArrayType(T.IntegerType(), False)
