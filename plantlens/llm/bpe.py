@@ -24,7 +24,7 @@ import json
 import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
 from itertools import accumulate
 
@@ -247,8 +247,18 @@ def unpacked(ids: bytes) -> array:
     return out
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", binary: bool = False, keep: bool = True) -> DataFrame:
-    """`docs` with `ids`: an array of ids, or `binary` little-endian unsigned 32-bit integers."""
+def encode(
+    docs: DataFrame,
+    path: str,
+    text: str = "text",
+    binary: bool = False,
+    keep: bool = True,
+    decoded: bool = False,
+) -> DataFrame:
+    """`docs` with `ids`: an array of ids, or `binary` little-endian unsigned 32-bit integers.
+
+    With `decoded`, what `decode` makes of the ids is added in the same pass.
+    """
     vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
     state: list[Encoder] = []
 
@@ -259,10 +269,18 @@ def encode(docs: DataFrame, path: str, text: str = "text", binary: bool = False,
         gc.disable()  # no cycles are made, and looking for them is a third of the work
         ids = state[0].encode(texts)
         gc.enable()
-        return [ids if binary else [unpacked(i).tolist() for i in ids]]
+        out = [ids if binary else [unpacked(i).tolist() for i in ids]]
+        if decoded:
+            out.append(joined_tokens(vocabulary.value["tokens"], map(unpacked, ids)))
+        return out
 
     kind = T.BinaryType() if binary else T.ArrayType(T.IntegerType(), False)
-    return map_texts(docs, text, [T.StructField("ids", kind)], compute, keep)
+    fields = [T.StructField("ids", kind)] + [T.StructField("decoded", T.StringType())] * decoded
+    return map_texts(docs, text, fields, compute, keep)
+
+
+def joined_tokens(tokens: dict[int, str], rows: Iterable[Iterable[int]]) -> list[str]:
+    return [" ".join([tokens[i] for i in row if i in tokens]) for row in rows]
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", keep: bool = True) -> DataFrame:
@@ -271,9 +289,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", keep: bool = True) -> D
     binary = isinstance(docs.schema[ids].dataType, T.BinaryType)
 
     def compute(rows: list) -> list:
-        tokens = vocabulary.value
-        lists = [unpacked(row) if binary else row for row in rows]
-        return [[" ".join([tokens[i] for i in row if i in tokens]) for row in lists]]
+        return [joined_tokens(vocabulary.value, (unpacked(row) if binary else row for row in rows))]
 
     fields = [T.StructField("decoded", T.StringType())]
     return map_texts(docs, ids, fields, compute, keep, cast=None)

@@ -265,7 +265,7 @@ VOCABULARY = "word_bpe_49k.json"
 def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, path, binary=True, keep=False), path)
+    coded = bpe.encode(docs, path, binary=True, keep=False, decoded=True)
     return coded.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -115,6 +115,8 @@ def test_edges(spark, library):
         assert sorted(r.decoded for r in found) == ["", "", *["hi</w> there</w>"] * 3]
         if not binary:
             assert sorted(r.ids for r in found) == [[], [], hi, hi, hi]
+        both = bpe.encode(docs, PATH, binary=binary, decoded=True).select(*back.columns)
+        assert sorted(map(str, both.collect())) == sorted(map(str, found))
     assert bpe.decode(bpe.encode(docs.limit(0), PATH), PATH).count() == 0
 
 
