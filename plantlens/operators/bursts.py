@@ -6,35 +6,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-SLICE_SECONDS = 3600
-
-
-def anomaly_bursts(silver: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+def anomaly_bursts(silver: DataFrame, slices: int | None = None) -> DataFrame:
     """(machine_id, burst_start, burst_end, readings) per run of flagged readings.
 
-    Readings of a machine are ordered by event time, then record id, then flag. No task sees
-    all readings of a machine: they are cut into slices of `slice_seconds` of its time, runs are
-    found inside each slice, and those that touch the edge of a slice are joined up afterwards.
+    Readings of a machine are ordered by event time (none first), then record id, then flag. No task
+    sees all readings of a machine: after copies of a reading have been counted, all readings lie in
+    one order of machine, time and id, which is cut by sampling into about equal `slices` (as many as
+    the session has shuffle partitions). Runs are found inside each slice, and those that touch the
+    edge of a slice are joined up afterwards.
 
-    Readings are shuffled once, by machine and slice. Copies of a reading are counted inside that
-    partitioning. A machine that sends more than a task can sort in an hour needs finer slices.
+    So a machine with many readings in an hour, or many readings without a time, are cut like any
+    others, and lines that did not parse, which are all alike, are one reading with many copies.
     """
     order = ["event_timestamp", "record_id", "flagged"]
-    seconds = F.unix_seconds(F.col("event_timestamp").cast("timestamp"))
-    # Readings without a time come first, in a slice before all others.
-    part_of_time = F.coalesce(F.floor(seconds / slice_seconds), F.lit(-(1 << 62)))
-    sliced = (
+    counted = (
         silver.select(
             "machine_id",
-            part_of_time.alias("slice"),
             "event_timestamp",
             "record_id",
             F.coalesce("is_anomaly", F.lit(False)).alias("flagged"),
         )
-        .repartition("machine_id", "slice")
-        .groupBy("machine_id", "slice", *order)
+        .groupBy("machine_id", *order)
         .agg(F.count(F.lit(1)).alias("copies"))
     )
+    wanted = [slices] if slices else []
+    ranged = counted.repartitionByRange(*wanted, "machine_id", *order)
+    sliced = ranged.withColumn("slice", F.spark_partition_id())
 
     in_slice = Window.partitionBy("machine_id", "slice").orderBy(*order)
     placed = sliced.withColumns(

@@ -213,4 +213,4 @@ def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ra_10b_bursts_many_slices", BURSTS_SQL)
 def bursts_many_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with slices so short that most bursts meet an edge."""
-    return anomaly_bursts(silver(spark, sf_dir), slice_seconds=60)
+    return anomaly_bursts(silver(spark, sf_dir), slices=50)

@@ -5,6 +5,8 @@ from datetime import datetime, timedelta
 from itertools import groupby
 
 import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from plantlens.operators.bursts import anomaly_bursts
 
@@ -23,9 +25,9 @@ def walked(readings):
     return sorted(found)
 
 
-def bursts(spark, readings, slice_seconds):
+def bursts(spark, readings, slices):
     df = spark.createDataFrame(readings, DDL).repartition(5)
-    return sorted(tuple(r) for r in anomaly_bursts(df, slice_seconds).collect())
+    return sorted(tuple(r) for r in anomaly_bursts(df, slices).collect())
 
 
 def random_readings(seed, count, flag_share):
@@ -39,12 +41,12 @@ def random_readings(seed, count, flag_share):
     return readings
 
 
-@pytest.mark.parametrize("slice_seconds", [1, 4, 50, 3600])
+@pytest.mark.parametrize("slices", [1, 4, 50])
 @pytest.mark.parametrize("flag_share", [0.1, 0.6, 0.97])
-def test_random_readings(spark, slice_seconds, flag_share):
+def test_random_readings(spark, slices, flag_share):
     """One machine holds over a third of all readings."""
-    readings = random_readings(slice_seconds, 600, flag_share)
-    assert bursts(spark, readings, slice_seconds) == walked(readings)
+    readings = random_readings(slices, 600, flag_share)
+    assert bursts(spark, readings, slices) == walked(readings)
 
 
 def test_times_before_1970_and_none(spark):
@@ -53,15 +55,41 @@ def test_times_before_1970_and_none(spark):
     assert bursts(spark, readings, 1) == [("M1", times[1], times[3], 4)]
 
 
-def test_readings_are_shuffled_once(spark):
-    readings = spark.createDataFrame(random_readings(1, 50, 0.5), DDL)
-    plan = anomaly_bursts(readings)._jdf.queryExecution().executedPlan().toString()
-    shuffles = [line for line in plan.splitlines() if "Exchange " in line]
-    assert "rangepartitioning" not in plan
-    # One of all readings, by machine and slice; the next is over runs, by machine and group.
-    assert len([line for line in shuffles if "slice" in line]) == 1
-    assert len(shuffles) == 2
-
+def test_no_slice_is_large(spark):
+    """Half of the lines did not parse, a machine has a third of the rest in one hour, many undated."""
+    readings = [(None, None, None, None)] * 6000
+    readings += [("M0", START + timedelta(seconds=i % 3600), f"r{i}", i % 7 == 0) for i in range(2000)]
+    readings += [("M1", None, f"u{i}", i % 3 == 0) for i in range(2000)]
+    readings += [(f"M{2 + i % 5}", START + timedelta(minutes=i), f"s{i}", i % 2 == 0) for i in range(2000)]
+    df = spark.createDataFrame(readings, DDL).repartition(8)
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = sorted(map(str, anomaly_bursts(df, 64).collect()))
+        plan = anomaly_bursts(df, 64)
+        # The rows of each slice, as the query itself cuts them.
+        copied = df.groupBy("machine_id", "event_timestamp", "record_id", "is_anomaly").count()
+        cut = copied.repartitionByRange(64, "machine_id", "event_timestamp", "record_id", "is_anomaly")
+        largest = cut.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    assert "rangepartitioning" in plan._jdf.queryExecution().executedPlan().toString()
+    assert largest <= 3 * 6001 / 64
+    expected = [Row(machine_id=m, burst_start=a, burst_end=b, readings=n) for m, a, b, n in walked_with_none(readings)]
+    assert found == sorted(map(str, expected))
+
+
+def walked_with_none(readings):
+    """As `walked`, with missing values first."""
+    found = []
+    order = sorted(readings, key=lambda r: (r[0] or "", r[1] or datetime.min, r[2] or "", bool(r[3])))
+    for machine, rows in groupby(order, key=lambda r: r[0]):
+        for flagged, run in groupby(rows, key=lambda r: bool(r[3])):
+            run = list(run)
+            if flagged:
+                times = [r[1] for r in run if r[1]]
+                found.append((machine, min(times, default=None), max(times, default=None), len(run)))
+    return found
 
 
 def test_one_burst_over_all_slices(spark):
