@@ -1,4 +1,4 @@
-"""The KPIs of a stored lake, as DataFrames or as temporary views.
+"""The KPIs of a stored lake as DataFrames; `plans.catalog` has them as views in SQL.
 
 Readings are counted from silver, which has one row for each, and values are measured from the
 fact. Beside running streams silver may be one micro-batch ahead of the fact; each KPI uses one of
@@ -17,8 +17,7 @@ from plantlens.operators.dimensions import Dimensions
 from plantlens.operators.out_of_spec import parameter_stats, varying
 from plantlens.plans import kpis
 from plantlens.session import materialize
-from plantlens.sources.generations import generation_path
-from plantlens.sources.tables import read_table, register_table
+from plantlens.sources.tables import read_table
 
 
 def read_dimensions(spark: SparkSession, lake: str) -> Dimensions:
@@ -70,18 +69,6 @@ VIEWS = {
 }
 
 
-# Spark keeps no comment with a temporary view; `kpi_comments` shows these in SQL.
-COMMENTS = {
-    "mv_anomaly_rate": "Flagged share of readings per line, machine and hour",
-    "mv_vibration_trend": "Hourly vibration per machine; a rise points to wear",
-    "mv_parameter_stability": "Hourly coefficient of variation per machine and parameter",
-    "mv_process_stage_anomaly_rate": "Flagged share of readings per stage category and day",
-    "mv_power_consumption": "Hourly power per machine; a drift points to trouble",
-    "mv_hourly_anomaly_heatmap": "Flagged readings per line, hour and shift",
-    "mv_parameter_out_of_spec": "Daily share of values beyond two deviations of their series",
-}
-
-
 def read_lake(spark: SparkSession, lake: str, fresh_statistics: bool = False) -> Lake:
     """The newest committed state of all tables. `fresh_statistics` measures the fact right away."""
     fact = read_table(spark, lake, schemas.FACT)
@@ -98,41 +85,3 @@ def read_lake(spark: SparkSession, lake: str, fresh_statistics: bool = False) ->
 def kpi(spark: SparkSession, lake: str, name: str, fresh_statistics: bool = False) -> DataFrame:
     """One KPI of a lake as it is now."""
     return VIEWS[name](read_lake(spark, lake, fresh_statistics))
-
-
-def create_views(spark: SparkSession, lake: str) -> list[str]:
-    """Create or replace all seven as temporary views for `spark.sql`.
-
-    A temporary view reads the files that were there when it was created. `run` and `follow` create
-    them again with every increment, `keep_names_current` does it for sessions that only read.
-    """
-    now = read_lake(spark, lake)
-    for name, view in VIEWS.items():
-        view(now).createOrReplaceTempView(name)
-    comments = spark.createDataFrame(list(COMMENTS.items()), "name string, comment string")
-    comments.createOrReplaceTempView("kpi_comments")
-    return list(VIEWS)
-
-
-def open_lake(spark: SparkSession, lake: str) -> list[str]:
-    """Stored tables and KPIs by name, for queries in SQL over a lake written earlier."""
-    for spec in schemas.TABLES:
-        read_table(spark, lake, spec).createOrReplaceTempView(spec.name)
-    return [spec.name for spec in schemas.TABLES] + create_views(spark, lake)
-
-
-def register_lake(spark: SparkSession, lake: str, database: str) -> list[str]:
-    """All tables in the catalog, with comments and properties; short ones at their newest state.
-
-    Called again, it points the short tables to the newest generation in one step each.
-    """
-    names = []
-    for spec in schemas.TABLES:
-        short = spec in schemas.GENERATION
-        path = generation_path(spark, lake, spec) if short else None
-        name = register_table(spark, lake, spec, database, path)
-        if short:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(name)
-        names.append(name)
-    return names

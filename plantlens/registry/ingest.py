@@ -23,12 +23,13 @@ from plantlens.registry.bindings import (
 from plantlens.registry.checks import DAMAGED_FACT, FACT_FAILURES, SILVER_FAILURES
 from plantlens.registry.core import query
 from plantlens.registry.oracle import WITH
-from plantlens.plans.views import VIEWS, read_dimensions, register_lake
+from plantlens.plans.catalog import VIEW_SQL, database_of, register_lake
+from plantlens.plans.views import VIEWS, read_dimensions
 from plantlens.registry.products import KPI_SQL, SILVER_SQL, flat_silver, with_double_rates
-from plantlens.session import shared_dir
+from plantlens.session import shared_dir, use_utc
 from plantlens.sources.export import export_json_lines
 from plantlens.sources.files import names_in, set_modified
-from plantlens.sources.generations import read_generation, write_generation
+from plantlens.sources.short_tables import read_short_table, write_short_tables
 from plantlens.sources.landing import read_json_inferred, read_lines
 from plantlens.sources.tables import overwrite_table, read_table
 from plantlens.streaming.chain import (
@@ -265,13 +266,13 @@ def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("snk_03_materialized_dimension", f"{WITH} SELECT * FROM machine")
 def materialized_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written three times; a reader that was open on the first generation still has it."""
+    """Written twice; a reader that was open on the first state still has it."""
     lake = shared_dir(spark, "lake")
     machines = dimensions(spark, sf_dir).machine
-    write_generation(spark, lake, 0, [(schemas.DIM_MACHINE, machines)])
-    early = read_generation(spark, lake, schemas.DIM_MACHINE)
-    write_generation(spark, lake, 1, [(schemas.DIM_MACHINE, machines.limit(0))])
-    late = read_generation(spark, lake, schemas.DIM_MACHINE)
+    write_short_tables(spark, lake, 0, [(schemas.DIM_MACHINE, machines)])
+    early = read_short_table(spark, lake, schemas.DIM_MACHINE)
+    write_short_tables(spark, lake, 1, [(schemas.DIM_MACHINE, machines.limit(0))])
+    late = read_short_table(spark, lake, schemas.DIM_MACHINE)
     return early.unionByName(late)
 
 
@@ -367,6 +368,31 @@ def view_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT name, length(comment) > 20 AS has_comment FROM kpi_comments")
 
 
+@query(
+    "snk_08_catalog_views",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS name, true AS has_comment, count(*) AS rows FROM ({KPI_SQL[name]})"
+        for name in VIEWS
+    ),
+)
+def catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPIs in a session that never opens the lake, after an increment it was not told of."""
+    path, lake = shared_dir(spark, "landing"), shared_dir(spark, "lake")
+    readings = silver(spark, sf_dir)
+    export_json_lines(first_delivery(readings), f"{path}/batch")
+    run(spark, path, lake)
+    compact(spark, lake)
+    export_json_lines(second_delivery(readings), f"{path}/streaming")
+    ingest(spark, path, lake)
+    reader, db, found = use_utc(spark.newSession()), database_of(lake), []
+    for name in VIEW_SQL:
+        shown = reader.sql(f"DESCRIBE TABLE EXTENDED {db}.{name}").where("col_name = 'Comment'")
+        has_comment = len(shown.first()["data_type"]) > 20
+        counted = reader.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("rows"))
+        found.append(counted.select(F.lit(name).alias("name"), F.lit(has_comment).alias("has_comment"), "rows"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
     "snk_07_compacted_table",
     f"""{WITH} SELECT {DELIVERY_SQL} AS delivery, machine_id, parameter_name, count(*) AS rows

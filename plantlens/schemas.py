@@ -166,6 +166,9 @@ KNOWLEDGE_SCHEMA = _struct(
 )
 
 
+LOAD_DAY = "_loaded_on"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """What is known about a stored table besides its rows."""
@@ -176,6 +179,18 @@ class TableSpec:
     properties: dict[str, str]
     partition_by: tuple[str, ...] = ()
     expectations: dict[str, str] = field(default_factory=dict)
+    # The column with the time of loading, in streamed tables.
+    loaded: str = ""
+
+    @property
+    def stored_schema(self) -> T.StructType:
+        """The columns as they are stored: streamed tables are laid out by day of loading first."""
+        day = [T.StructField(LOAD_DAY, DATE)] if self.loaded else []
+        return T.StructType([*self.schema.fields, *day])
+
+    @property
+    def stored_partitions(self) -> tuple[str, ...]:
+        return (LOAD_DAY, *self.partition_by) if self.loaded else self.partition_by
 
 
 BRONZE = TableSpec(
@@ -183,6 +198,7 @@ BRONZE = TableSpec(
     BRONZE_SCHEMA,
     "Landed lines, unparsed, with the file each one came from",
     {"quality": "bronze", "compaction": "by size"},
+    loaded="_ingested_at",
 )
 SILVER = TableSpec(
     "silver_telemetry",
@@ -195,6 +211,7 @@ SILVER = TableSpec(
         "valid_timestamp": "event_timestamp IS NOT NULL",
         "valid_machine_id": "machine_id IS NOT NULL",
     },
+    "_loaded_at",
 )
 FACT = TableSpec(
     "gold_fact_telemetry",
@@ -208,6 +225,7 @@ FACT = TableSpec(
         "valid_param_name": "parameter_name IS NOT NULL",
         "valid_param_value": "parameter_value IS NOT NULL",
     },
+    "_loaded_at",
 )
 DIM_LINE = TableSpec(
     "gold_dim_production_line",
@@ -254,7 +272,7 @@ EXPECTATION_LOG = TableSpec(
     {"quality": "log"},
 )
 
-# Short tables that are replaced together, as one generation.
-GENERATION = (DIM_LINE, DIM_MACHINE, DIM_DATE, DIM_STAGE, STATS, SETS)
+# Short tables that are replaced together.
+SHORT = (DIM_LINE, DIM_MACHINE, DIM_DATE, DIM_STAGE, STATS, SETS)
 STREAMED = (BRONZE, SILVER, FACT)
 TABLES = (*STREAMED, DIM_LINE, DIM_MACHINE, DIM_DATE, DIM_STAGE, STATS)

@@ -13,6 +13,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Tables are looked up anew by each query, so that what streams have appended is seen.
+    "spark.sql.filesourceTableRelationCacheSize": "0",
 }
 
 

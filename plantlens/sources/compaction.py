@@ -1,95 +1,76 @@
 """Compacted copies of streamed tables: few large files, clustered for the KPIs.
 
-A stream's folder and file log are never touched, so streams that write or read it go on. The copy
-lies beside it, with the list of the files it covers, and takes effect when its commit file
-appears. Readers take the newest copy and, from the folder, only the files that it does not cover.
-The copy before it is kept for queries that were planned on it. Source files stay: downstream
-streams may still have to read them, and the file log names them.
-
-The list of files is the one thing that grows on the driver, by some 100 bytes a file; the data is
-read from the copy, so that its many small files are opened once, for the copy.
+Every row carries the time of the micro-batch that loaded it. A compaction copies the rows loaded
+since the last one, up to the newest load time stored, into a folder named by that time; readers take
+all copies and, from the table itself, the rows loaded later. So the bound is all that a reader needs
+to know: no list of files is made or compared. Micro-batches of a table follow each other and are
+committed whole by Spark's log of the sink, so that no row of an earlier load time can come later, as
+long as the clock of the writer does not step back. Tables are laid out by day of loading, so that
+days behind the bound are not opened at all.
+
+The table itself is never touched: streams that write or read it go on.
 """
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
+from plantlens.schemas import LOAD_DAY, TableSpec
+from plantlens.sources.files import exists, names_in
 
-from plantlens.schemas import TableSpec
-from plantlens.sources.files import delete_folder, names_in, read_text, write_text
-
-KEPT = 2
-COMMIT = ".commit"
 FILE_BYTES = 512 << 20
 # Rows of a parameter and machine lie together, so that row groups without them are skipped.
 CLUSTERED_BY = {"gold_fact_telemetry": ["parameter_name", "machine_id", "event_timestamp"]}
 
 
-def _folder(lake: str, spec: TableSpec) -> str:
+def copies_folder(lake: str, spec: TableSpec) -> str:
     return f"{lake.rstrip('/')}/_compacted/{spec.name}"
 
 
-def _copies(spark: SparkSession, lake: str, spec: TableSpec) -> list[int]:
-    names = names_in(spark, _folder(lake, spec))
-    return sorted(int(n.removesuffix(COMMIT)) for n in names if n.endswith(COMMIT))
-
-
-def _path(spark: SparkSession, lake: str, spec: TableSpec, number: int) -> str:
-    folder = _folder(lake, spec)
-    return f"{folder}/{read_text(spark, f'{folder}/{number}{COMMIT}')}"
+def copy_paths(spark: SparkSession, lake: str, spec: TableSpec) -> dict[int, str]:
+    """Finished copies by the load time, in microseconds, up to which each one goes."""
+    folder = copies_folder(lake, spec)
+    paths = {int(n.removeprefix("upto=")): f"{folder}/{n}" for n in names_in(spark, folder)}
+    return {upto: p for upto, p in sorted(paths.items()) if exists(spark, f"{p}/_SUCCESS")}
 
 
-def _plain(spark: SparkSession, spec: TableSpec, path: str, files: list[str] | None = None):
-    reader = spark.read.schema(spec.schema).option("basePath", path)
-    return reader.parquet(*(files if files is not None else [path]))
+def loaded_after(spec: TableSpec, bound: int) -> Column:
+    """Rows that no copy up to `bound` holds, with the days before it pruned."""
+    time = F.timestamp_micros(F.lit(bound))
+    recent = F.col(LOAD_DAY).isNull() | (F.col(LOAD_DAY) >= F.to_date(time))
+    return recent & F.coalesce(F.col(spec.loaded) > time, F.lit(True))
 
 
-def read_with_compacted(
-    spark: SparkSession, lake: str, spec: TableSpec, path: str
-) -> DataFrame:
-    """The newest copy of a table and the files written since, or just the table."""
-    copies = _copies(spark, lake, spec)
+def with_copies(spark: SparkSession, lake: str, spec: TableSpec, stored: DataFrame) -> DataFrame:
+    """The rows of a stored table, those that have been copied from the copies."""
+    copies = copy_paths(spark, lake, spec)
     if not copies:
-        return _plain(spark, spec, path)
-    copy = _path(spark, lake, spec, copies[-1])
-    covered = {row["file"] for row in spark.read.parquet(f"{copy}/files").collect()}
-    fresh = sorted(set(_plain(spark, spec, path).inputFiles()) - covered)
-    rows = _plain(spark, spec, f"{copy}/rows")
-    return rows.unionByName(_plain(spark, spec, path, fresh)) if fresh else rows
+        return stored.select(*spec.schema.names)
+    copied = spark.read.schema(spec.schema).parquet(*copies.values())
+    later = stored.where(loaded_after(spec, max(copies)))
+    return copied.unionByName(later.select(*spec.schema.names))
 
 
 def compact_table(
-    spark: SparkSession, lake: str, spec: TableSpec, path: str, file_bytes: int = FILE_BYTES
+    spark: SparkSession, lake: str, spec: TableSpec, stored: DataFrame, file_bytes: int = FILE_BYTES
 ) -> int:
-    """Write a new copy of all rows stored so far; returns the number of files it covers.
+    """Copy the rows of `stored` that no copy holds yet; returns their number.
 
-    One range shuffle by the columns that cluster the table, or a plain one into files of about
-    `file_bytes`. Partitioned tables keep their partitions.
+    One range shuffle by the columns that cluster the table, or by its partition columns, into files
+    of about `file_bytes`.
     """
-    snapshot = _plain(spark, spec, path)
-    files = snapshot.inputFiles()
-    number = (_copies(spark, lake, spec) or [0])[-1] + 1
-    name = f"{number}-{uuid.uuid4().hex}"
-    copy = f"{_folder(lake, spec)}/{name}"
-    size = int(snapshot._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    copies = copy_paths(spark, lake, spec)
+    fresh = stored.where(loaded_after(spec, max(copies))) if copies else stored
+    newest = fresh.agg(F.unix_micros(F.max(spec.loaded))).first()[0]
+    if newest is None:
+        return 0
+    rows = fresh.where(F.col(spec.loaded) <= F.timestamp_micros(F.lit(newest)))
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     n_files = max(1, -(-size // file_bytes))
-    order = CLUSTERED_BY.get(spec.name)
-    # Read by path, the snapshot has exactly the files that the list names.
-    rows = _plain(spark, spec, path, list(files)) if files else snapshot
-    if order:
-        rows = rows.repartitionByRange(n_files, *order).sortWithinPartitions(*order)
-    else:
-        rows = rows.repartition(n_files)
-    writer = rows.write
-    if spec.partition_by:
-        writer = writer.partitionBy(*spec.partition_by)
-    writer.parquet(f"{copy}/rows")
-    listed = spark.createDataFrame([(f,) for f in files], "file string")
-    listed.coalesce(1).write.parquet(f"{copy}/files")
-    write_text(spark, f"{_folder(lake, spec)}/{number}{COMMIT}", name)
-    for old in _copies(spark, lake, spec)[:-KEPT]:
-        gone = _path(spark, lake, spec, old)
-        delete_folder(spark, f"{_folder(lake, spec)}/{old}{COMMIT}")
-        delete_folder(spark, gone)
-    return len(files)
+    order = CLUSTERED_BY.get(spec.name) or [*spec.partition_by, spec.loaded]
+    path = f"{copies_folder(lake, spec)}/upto={newest}"
+    dealt = rows.select(*spec.schema.names).repartitionByRange(n_files, *order)
+    # A folder of that name without success marker is what a failed attempt has left.
+    dealt.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    return spark.read.schema(spec.schema).parquet(path).count()

@@ -21,26 +21,6 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in system.listStatus(place)] if system.exists(place) else []
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A file that appears with its whole content, in place of one of that name."""
-    system, hidden = _on(spark, f"{path}.writing")
-    stream = system.create(hidden, True)
-    stream.write(bytearray(text.encode()))
-    stream.close()
-    target = _on(spark, path)[1]
-    system.delete(target, False)
-    if not system.rename(hidden, target):
-        raise OSError(f"{path} could not be put in place")
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    system, place = _on(spark, path)
-    stream = system.open(place)
-    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    stream.close()
-    return text
-
-
 def make_folder(spark: SparkSession, path: str) -> None:
     system, place = _on(spark, path)
     system.mkdirs(place)

@@ -1,19 +1,20 @@
 """Stored tables: parquet folders below the folder of the lake.
 
-Streamed tables grow by appends, in one folder each, and may have a compacted copy beside it, see
-`sources.compaction`. Short tables are replaced together, see `sources.generations`.
+Streamed tables grow by appends, in one folder each, by day of loading, and may have compacted copies
+beside it, see `sources.compaction`. Short tables are replaced together, see `sources.short_tables`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from plantlens.schemas import GENERATION, TableSpec
-from plantlens.sources.compaction import read_with_compacted
-from plantlens.sources.files import exists
-from plantlens.sources.generations import read_generation
+from plantlens.schemas import LOAD_DAY, SHORT, TableSpec
+from plantlens.sources.compaction import with_copies
+from plantlens.sources.files import exists, make_folder
 from plantlens.sources.landing import REMEMBER_FILES_FOR, bounded
+from plantlens.sources.short_tables import read_short_table
 
 
 def table_path(lake: str, spec: TableSpec) -> str:
@@ -26,12 +27,23 @@ def checkpoint_path(lake: str, spec: TableSpec) -> str:
 
 def read_table(spark: SparkSession, lake: str, spec: TableSpec) -> DataFrame:
     """Snapshot of a table. The schema is given, so partition values keep their types."""
-    if spec in GENERATION:
-        return read_generation(spark, lake, spec)
-    path = table_path(lake, spec)
-    if not exists(spark, path):
+    if spec in SHORT:
+        return read_short_table(spark, lake, spec)
+    if not exists(spark, table_path(lake, spec)):
         return spark.createDataFrame([], spec.schema)
-    return read_with_compacted(spark, lake, spec, path).select(*spec.schema.names)
+    stored = read_stored(spark, lake, spec)
+    if not spec.loaded:
+        return stored.select(*spec.schema.names)
+    return with_copies(spark, lake, spec, stored)
+
+
+def read_stored(spark: SparkSession, lake: str, spec: TableSpec) -> DataFrame:
+    """A table as it is laid out, without its compacted copies."""
+    return spark.read.schema(spec.stored_schema).parquet(table_path(lake, spec))
+
+
+def laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
+    return df.withColumn(LOAD_DAY, F.to_date(spec.loaded)) if spec.loaded else df
 
 
 def stream_table(
@@ -42,7 +54,7 @@ def stream_table(
     max_bytes: int | None = None,
 ) -> DataFrame:
     """Rows appended to a table since the reader's checkpoint."""
-    reader = spark.readStream.schema(spec.schema).option("maxFileAge", REMEMBER_FILES_FOR)
+    reader = spark.readStream.schema(spec.stored_schema).option("maxFileAge", REMEMBER_FILES_FOR)
     rows = bounded(reader, max_files, max_bytes).parquet(table_path(lake, spec))
     return rows.select(*spec.schema.names)
 
@@ -61,22 +73,22 @@ def append_stream(
     "5 seconds", it goes on until it is stopped.
     """
     writer = (
-        df.writeStream.format("parquet")
+        laid_out(df, spec).writeStream.format("parquet")
         .outputMode("append")
         .queryName(spec.name)
         .option("checkpointLocation", checkpoint_path(lake, spec))
     )
     writer = triggered(writer, every)
-    if spec.partition_by:
-        writer = writer.partitionBy(*spec.partition_by)
+    if spec.stored_partitions:
+        writer = writer.partitionBy(*spec.stored_partitions)
     return writer.start(table_path(lake, spec))
 
 
 def overwrite_table(df: DataFrame, lake: str, spec: TableSpec) -> None:
     """Write a streamed table from a batch, where no stream writes it."""
-    writer = df.select(*spec.schema.names).write.mode("overwrite")
-    if spec.partition_by:
-        writer = writer.partitionBy(*spec.partition_by)
+    writer = laid_out(df.select(*spec.schema.names), spec).write.mode("overwrite")
+    if spec.stored_partitions:
+        writer = writer.partitionBy(*spec.stored_partitions)
     writer.parquet(table_path(lake, spec))
 
 
@@ -85,16 +97,18 @@ def register_table(
 ) -> str:
     """Make a stored table known to the catalog, with its comment and properties."""
     name = f"{database}.{spec.name}"
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
-    partitions = f"PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.stored_schema)
+    parts = spec.stored_partitions
+    partitions = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
     properties = ", ".join(f"'{k}' = '{v}'" for k, v in spec.properties.items())
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake}/_catalog'")
+    place = path or table_path(lake, spec)
+    make_folder(spark, place)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitions} "
-        f"LOCATION '{path or table_path(lake, spec)}' COMMENT '{spec.comment}' "
-        f"TBLPROPERTIES ({properties})"
+        f"LOCATION '{place}' COMMENT '{spec.comment}' TBLPROPERTIES ({properties})"
     )
     # Tables written by a stream list their own files and need no partitions in the catalog.
-    if any(column.isPartition for column in spark.catalog.listColumns(name)):
-        spark.catalog.recoverPartitions(name)
+    if not exists(spark, f"{place}/_spark_metadata"):
+        if any(column.isPartition for column in spark.catalog.listColumns(name)):
+            spark.catalog.recoverPartitions(name)
     return name

@@ -21,18 +21,15 @@ from plantlens.operators.history import add_attribute_sets, add_statistics
 from plantlens.operators.out_of_spec import parameter_stats
 from plantlens.operators.parse import fact_rows, parse_lines
 from plantlens.operators.quality import expectation_report, observe_expectations
-from plantlens.plans.views import open_lake, read_dimensions
-from plantlens.session import materialize, require_utc, shared_dir
+from plantlens.plans.catalog import keep_open, point_short_tables, point_to_copies, refresh
+from plantlens.plans.views import read_dimensions
+from plantlens.session import materialize, require_utc
 from plantlens.sources.compaction import FILE_BYTES, compact_table
-from plantlens.sources.generations import (
-    committed,
-    read_generation,
-    stream_commits,
-    write_generation,
-)
 from plantlens.sources.landing import stream_lines
+from plantlens.sources.short_tables import batches_written, read_short_table, write_short_tables
 from plantlens.sources.tables import (
     append_stream,
+    read_stored,
     read_table,
     stream_table,
     table_path,
@@ -76,14 +73,15 @@ def start_short_tables(
     every: str | None = None,
     **bounds,
 ) -> StreamingQuery:
-    """Dimensions and statistics, one generation per micro-batch of silver.
+    """Dimensions and statistics, replaced once per micro-batch of silver.
 
-    A generation is made of the one before and the readings of the batch. Its number is that of
-    the batch, so a batch that is done again after a failure is not added twice.
+    They are made of those before and the readings of the batch, and kept under the batch's number,
+    so a batch that is done again after a failure is not added twice. A registered lake is pointed
+    to them.
     """
 
     def merge(arrived: DataFrame, batch_id: int) -> None:
-        done = committed(spark, lake)
+        done = batches_written(spark, lake)
         if batch_id in done:
             return
         before = [number for number in done if number < batch_id]
@@ -109,7 +107,7 @@ def _known(arrived: DataFrame, lake: str, spec: schemas.TableSpec, number: int |
     spark = arrived.sparkSession
     if number is None:
         return spark.createDataFrame([], spec.schema)
-    return read_generation(spark, lake, spec, number)
+    return read_short_table(spark, lake, spec, number)
 
 
 def _write_short_tables(
@@ -117,7 +115,7 @@ def _write_short_tables(
 ) -> None:
     kept = materialize(sets)
     dims = dimensions_of_sets(kept)
-    write_generation(
+    write_short_tables(
         spark,
         lake,
         number,
@@ -130,6 +128,7 @@ def _write_short_tables(
             (schemas.DIM_STAGE, dims.stage),
         ],
     )
+    point_short_tables(spark, lake)
 
 
 def _observed(df: DataFrame, spec: schemas.TableSpec) -> DataFrame:
@@ -202,6 +201,7 @@ class ExpectationLogger(StreamingQueryListener):
                 table, str(progress.runId), progress.batchId, progress.timestamp, metrics.asDict()
             )
             append_to_log(self.spark, self.lake, entries)
+        refresh(self.spark, self.lake)
 
     def onQueryIdle(self, event):
         pass
@@ -255,8 +255,7 @@ def follow(
     """Keep all tables, the KPIs by name and the expectation log up to date.
 
     This goes on until the returned queries are stopped. The backlog is taken first, which also
-    makes sure that each step finds the table it reads. The names then always stand for the newest
-    generation and the fact at that time.
+    makes sure that each step finds the table it reads. The names are views, computed when read.
     """
     run(spark, landing, lake, path_glob=path_glob, archive=archive, **bounds)
     logged = [
@@ -269,37 +268,16 @@ def follow(
         start_bronze(spark, landing, lake, path_glob, every, archive=archive, **bounds),
         *logged,
         start_short_tables(spark, lake, every, **bounds),
-        keep_names_current(spark, lake, every),
     ]
 
 
-def keep_names_current(spark: SparkSession, lake: str, every: str = "5 seconds") -> StreamingQuery:
-    """Point tables and KPIs by name to what is stored, each time the lake has grown.
-
-    For a session that reads a lake which another one writes; `follow` does it by itself. The
-    query sees new files of the fact and new generations, and reads none of their rows.
-    """
-    open_lake(spark, lake)
-
-    def reopen(arrived: DataFrame, batch_id: int) -> None:
-        open_lake(spark, lake)
-
-    grown = stream_table(spark, lake, schemas.FACT).select("record_id")
-    writer = grown.unionAll(stream_commits(spark, lake)).writeStream.foreachBatch(reopen)
-    # A session's own progress; each one starts from what is there.
-    checkpoint = shared_dir(spark, "names")
-    return triggered(
-        writer.queryName("names").option("checkpointLocation", checkpoint), every
-    ).start()
-
-
 def rebuild_short_tables(spark: SparkSession, lake: str) -> Dimensions:
     """Dimensions and statistics from all of silver and the fact, for repair and comparison.
 
     The increments go on from what is built here, so no other step may run meanwhile.
     """
     require_utc(spark)
-    done = committed(spark, lake)
+    done = batches_written(spark, lake)
     sets = attribute_sets(read_table(spark, lake, schemas.SILVER))
     stats = parameter_stats(read_table(spark, lake, schemas.FACT))
     number = done[-1] if done else 0
@@ -310,7 +288,7 @@ def rebuild_short_tables(spark: SparkSession, lake: str) -> Dimensions:
 def run(spark: SparkSession, landing: str, lake: str, **options) -> dict[str, Counts]:
     """One increment; tables and KPIs by name then stand for it. Returns the counters."""
     counts = ingest(spark, landing, lake, **options)
-    open_lake(spark, lake)
+    keep_open(spark, lake)
     return counts
 
 
@@ -320,11 +298,13 @@ def compact(
     tables: tuple[schemas.TableSpec, ...] = schemas.STREAMED,
     file_bytes: int = FILE_BYTES,
 ) -> dict[str, int]:
-    """Compacted copies of streamed tables; the files each one covers. Streams may go on."""
-    return {
-        spec.name: compact_table(spark, lake, spec, table_path(lake, spec), file_bytes)
-        for spec in tables
-    }
+    """Copy what has been appended to streamed tables; the rows copied. Streams may go on."""
+    copied = {}
+    for spec in tables:
+        stored = read_stored(spark, lake, spec)
+        copied[spec.name] = compact_table(spark, lake, spec, stored, file_bytes)
+        point_to_copies(spark, lake, spec)
+    return copied
 
 
 def stored_expectations(spark: SparkSession, lake: str, spec: schemas.TableSpec) -> DataFrame:

@@ -7,7 +7,8 @@ from planted import PLANTED
 from plantlens import schemas
 from plantlens.operators.dimensions import build_dimensions
 from plantlens.operators.parse import fact_rows, parse_lines
-from plantlens.plans.views import COMMENTS, VIEWS, kpi, open_lake
+from plantlens.plans.catalog import COMMENTS, open_lake
+from plantlens.plans.views import VIEWS, kpi
 from plantlens.registry.bindings import first_delivery, second_delivery, silver
 from plantlens.sources.export import export_json_lines
 from plantlens.sources.landing import read_lines

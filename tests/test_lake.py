@@ -1,4 +1,4 @@
-"""A lake that is kept open: late files, generations, compaction, logs, names."""
+"""A lake that is kept open: late files, replaced tables, compaction, logs, names."""
 
 import os
 import time
@@ -7,14 +7,17 @@ import pyarrow.parquet as pq
 import pytest
 from compare import spark_rows
 from planted import PLANTED
+from pyspark.sql import functions as F
 
 from plantlens import schemas
 from plantlens.operators.dimensions import build_dimensions
 from plantlens.operators.out_of_spec import parameter_stats
+from plantlens.plans.catalog import VIEW_SQL, database_of
 from plantlens.plans.views import VIEWS, kpi, read_dimensions
 from plantlens.registry.bindings import first_delivery, landing, second_delivery, silver
 from plantlens.sources.export import export_json_lines
-from plantlens.sources.generations import committed, read_generation, write_generation
+from plantlens.sources.compaction import copies_folder, copy_paths
+from plantlens.sources.short_tables import batches_written, read_short_table, write_short_tables
 from plantlens.sources.tables import read_table, table_path
 from plantlens.streaming.chain import (
     compact,
@@ -58,23 +61,23 @@ def test_done_files_can_be_archived(spark, tmp_path):
 def test_a_reader_survives_a_refresh(spark, tmp_path):
     lake = str(tmp_path)
     rows = [spark.createDataFrame([(s, 1, "x")], schemas.STAGE_SCHEMA) for s in "abcd"]
-    assert read_generation(spark, lake, schemas.DIM_STAGE).count() == 0
-    write_generation(spark, lake, 0, [(schemas.DIM_STAGE, rows[0])])
+    assert read_short_table(spark, lake, schemas.DIM_STAGE).count() == 0
+    write_short_tables(spark, lake, 0, [(schemas.DIM_STAGE, rows[0])])
     reader = read_table(spark, lake, schemas.DIM_STAGE)
-    write_generation(spark, lake, 1, [(schemas.DIM_STAGE, rows[1])])
+    write_short_tables(spark, lake, 1, [(schemas.DIM_STAGE, rows[1])])
     assert reader.first()["process_stage"] == "a"
     assert read_table(spark, lake, schemas.DIM_STAGE).first()["process_stage"] == "b"
-    write_generation(spark, lake, 2, [(schemas.DIM_STAGE, rows[2])])
-    assert committed(spark, lake) == [1, 2]
+    write_short_tables(spark, lake, 2, [(schemas.DIM_STAGE, rows[2])])
+    assert batches_written(spark, lake) == [1, 2]
 
 
 def test_a_failed_refresh_leaves_the_last_one(spark, tmp_path):
     lake = str(tmp_path)
     good = spark.createDataFrame([("a", 1, "x")], schemas.STAGE_SCHEMA)
-    write_generation(spark, lake, 0, [(schemas.DIM_STAGE, good)])
+    write_short_tables(spark, lake, 0, [(schemas.DIM_STAGE, good)])
     bad = good.selectExpr("process_stage", "raise_error('stop') AS stage_sequence", "stage_category")
     with pytest.raises(Exception, match="stop"):
-        write_generation(spark, lake, 1, [(schemas.DIM_STAGE, bad)])
+        write_short_tables(spark, lake, 1, [(schemas.DIM_STAGE, bad)])
     assert spark_rows(read_table(spark, lake, schemas.DIM_STAGE)) == spark_rows(good)
 
 
@@ -178,26 +181,96 @@ def test_expectation_log(spark, tmp_path):
     assert batches.distinct().count() > 2
 
 
+def files_behind(df):
+    """Where the rows of a frame come from."""
+    names = df.select(F.input_file_name().alias("f")).distinct().collect()
+    return {"copy" if "/_compacted/" in r["f"] else "table" for r in names}, len(names)
+
+
 def test_compaction_beside_the_streams(spark, sf_dir, tmp_path):
     folder, lake = tmp_path / "landing", str(tmp_path / "lake")
     readings = silver(spark, sf_dir)
     export_json_lines(first_delivery(readings), f"{folder}/batch")
     ingest(spark, str(folder), lake, max_files=1)
     before = spark_rows(read_table(spark, lake, schemas.FACT))
-    files = len(read_table(spark, lake, schemas.FACT).inputFiles())
-    covered = compact(spark, lake)
-    assert covered[schemas.FACT.name] == files > 1
+    assert files_behind(read_table(spark, lake, schemas.FACT))[1] > 1
+    copied = compact(spark, lake)
+    assert copied[schemas.FACT.name] == len(before[1])
     compacted = read_table(spark, lake, schemas.FACT)
-    assert len(compacted.inputFiles()) == 1 and spark_rows(compacted) == before
+    assert files_behind(compacted) == ({"copy"}, 1) and spark_rows(compacted) == before
     partitioned = read_table(spark, lake, schemas.SILVER).filter("line_id = 'PL-02'")
     assert partitioned.count() == first_delivery(readings).filter("line_id = 'PL-02'").count()
+    assert compact(spark, lake, (schemas.FACT,)) == {schemas.FACT.name: 0}
     export_json_lines(second_delivery(readings), f"{folder}/streaming")
     counts = ingest(spark, str(folder), lake)
-    assert read_table(spark, lake, schemas.FACT).count() == len(before[1]) + counts[schemas.FACT.name]["rows"]
-    again = compact(spark, lake, (schemas.FACT,))
-    assert again[schemas.FACT.name] > files
-    assert len(read_table(spark, lake, schemas.FACT).inputFiles()) == 1
-    assert len(compacted.inputFiles()) == 1 and compacted.count() == len(before[1])
+    added = counts[schemas.FACT.name]["rows"]
+    both = read_table(spark, lake, schemas.FACT)
+    assert both.count() == len(before[1]) + added and files_behind(both)[0] == {"copy", "table"}
+    whole = spark_rows(both)
+    assert compact(spark, lake, (schemas.FACT,)) == {schemas.FACT.name: added}
+    assert files_behind(read_table(spark, lake, schemas.FACT)) == ({"copy"}, 2)
+    assert spark_rows(read_table(spark, lake, schemas.FACT)) == whole
+    assert spark_rows(compacted) == before
+
+
+def test_days_behind_the_bound_are_not_opened(spark, tmp_path):
+    """Rows of an earlier day that a copy holds: their files are pruned by the day of loading."""
+    lake = str(tmp_path / "lake")
+    rows = spark.sql(
+        "SELECT concat('r', id) AS raw_content, 'f' AS _source_file, TIMESTAMP '2024-01-01' AS "
+        "_source_file_timestamp, 1L AS _source_file_size, "
+        "timestamp_seconds(1704067200 + id * 40000) AS _ingested_at FROM range(9)"
+    )
+    from plantlens.sources.tables import overwrite_table
+
+    overwrite_table(rows.where("_ingested_at < '2024-01-03 12:00:00'"), lake, schemas.BRONZE)
+    n = compact(spark, lake, (schemas.BRONZE,))[schemas.BRONZE.name]
+    overwrite_table(rows, lake, schemas.BRONZE)
+    found = read_table(spark, lake, schemas.BRONZE)
+    assert 0 < n < 9 and sorted(r["raw_content"] for r in found.collect()) == [f"r{i}" for i in range(9)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "_loaded_on" in plan.split("PartitionFilters", 1)[1]
+
+
+def test_a_failed_compaction_is_not_read(spark, tmp_path):
+    lake, folder = str(tmp_path / "lake"), tmp_path / "landing"
+    land(folder, "a.jsonl", *PLANTED)
+    run(spark, str(folder), lake)
+    whole = spark_rows(read_table(spark, lake, schemas.FACT))
+    compact(spark, lake, (schemas.FACT,))
+    (path,) = copy_paths(spark, lake, schemas.FACT).values()
+    os.unlink(f"{path}/_SUCCESS")
+    assert spark_rows(read_table(spark, lake, schemas.FACT)) == whole
+    assert compact(spark, lake, (schemas.FACT,))[schemas.FACT.name] == len(whole[1])
+    assert len(os.listdir(copies_folder(lake, schemas.FACT))) == 1
+    assert spark_rows(read_table(spark, lake, schemas.FACT)) == whole
+
+
+def test_views_are_computed_when_read(spark, sf_dir, tmp_path):
+    """A session that reads all along and never opens the lake, through increments and a compaction."""
+    folder, lake = tmp_path / "landing", str(tmp_path / "lake")
+    readings = silver(spark, sf_dir)
+    export_json_lines(first_delivery(readings), f"{folder}/batch")
+    run(spark, str(folder), lake)
+    reader, db = spark.newSession(), database_of(lake)
+    reader.conf.set("spark.sql.session.timeZone", "UTC")
+
+    def compare():
+        for name in VIEW_SQL:
+            rows = spark_rows(reader.table(f"{db}.{name}"))
+            assert rows == spark_rows(kpi(spark, lake, name)) and rows[1], name
+
+    compare()
+    export_json_lines(second_delivery(readings), f"{folder}/streaming")
+    land(folder / "streaming", "planted.jsonl", *PLANTED)
+    ingest(spark, str(folder), lake)
+    compare()
+    compact(spark, lake)
+    compare()
+    shown = reader.sql(f"DESCRIBE TABLE EXTENDED {db}.mv_anomaly_rate").where("col_name = 'Comment'")
+    assert shown.first()["data_type"].startswith("Flagged share")
+    shown = reader.sql(f"DESCRIBE TABLE EXTENDED {db}.gold_dim_machine").where("col_name = 'Comment'")
+    assert shown.first()["data_type"] == schemas.DIM_MACHINE.comment
 
 
 def test_compacted_fact_skips_row_groups_of_other_parameters(spark, sf_dir, tmp_path):
@@ -220,8 +293,9 @@ def test_compacted_fact_skips_row_groups_of_other_parameters(spark, sf_dir, tmp_
                 wanted += stats.min <= "vibration_mm_s_rms" <= stats.max
         return wanted, total
 
-    raw = spark.read.schema(schemas.FACT_SCHEMA).parquet(table_path(lake, schemas.FACT)).inputFiles()
+    raw = spark.read.schema(schemas.FACT.stored_schema).parquet(table_path(lake, schemas.FACT)).inputFiles()
     wanted, total = groups(raw)
     assert wanted == total
-    wanted, total = groups(read_table(spark, lake, schemas.FACT).inputFiles())
+    copies = copy_paths(spark, lake, schemas.FACT)
+    wanted, total = groups(spark.read.parquet(*copies.values()).inputFiles())
     assert total > 2 and wanted < total
