@@ -67,13 +67,23 @@ def moments(rows: DataFrame, keys: list[str], value: str = "parameter_value") ->
         F.max(x).alias("high"),
     )
     squares = F.col("sd") * F.col("sd") * (F.col("n") - 1)
-    return measured.withColumn("m2", F.coalesce(squares, F.lit(0.0)))
+    # A single value deviates by nothing, unless it is NaN or infinite.
+    alone = F.col("mean") - F.col("mean")
+    return measured.withColumn("m2", F.coalesce(squares, alone, F.lit(0.0)))
 
 
 def _sample_sd(m2: Column, n: Column) -> Column:
     return F.when(n > 1, F.sqrt(m2 / (n - 1)))
 
 
+def moments_of_sums(parts: DataFrame) -> DataFrame:
+    """The columns of `moments` from counts, mean and squared deviations; no value has no mean."""
+    n = F.col("n")
+    return parts.withColumns(
+        {"mean": F.when(n > 0, F.col("mean")), "sd": _sample_sd(F.col("m2"), n)}
+    )
+
+
 def repeat_moments(parts: DataFrame) -> DataFrame:
     """Moments of rows that occur `weight` times each. A weight of 1 changes nothing."""
     weight = F.col("weight")

@@ -21,6 +21,7 @@ from pyspark.sql import SparkSession
 
 from plantlens import schemas
 from plantlens.functions.measures import SIGMA_LIMIT
+from plantlens.functions.sql import create_functions
 from plantlens.plans.kpis import POWER, VIBRATION
 from plantlens.schemas import LOAD_DAY, TableSpec
 from plantlens.sources.compaction import copy_paths
@@ -153,12 +154,13 @@ def database_of(lake: str) -> str:
 
 
 def register_lake(spark: SparkSession, lake: str, database: str | None = None) -> list[str]:
-    """Tables and KPIs of a lake in the catalog, as they are now; returns the names of the tables.
+    """Tables, KPIs and functions of a lake in the catalog; returns the names of the tables.
 
     May be called again at any time; what is there already stays, and views are replaced.
     """
     db = database or database_of(lake)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{lake.rstrip('/')}/_catalog'")
+    create_functions(spark, db)
     names = []
     for spec in schemas.TABLES:
         path = short_table_path(spark, lake, spec) if spec in schemas.SHORT else None
@@ -222,13 +224,14 @@ def keep_open(spark: SparkSession, lake: str) -> None:
 
 
 def open_lake(spark: SparkSession, lake: str, database: str | None = None) -> list[str]:
-    """Register a lake and let its names stand without the database in this session.
+    """Register a lake and let its names and functions stand without the database in this session.
 
     The short names are temporary views in SQL, resolved when read, so they never have to be made again.
     """
     db = database or database_of(lake)
     register_lake(spark, lake, db)
     spark.conf.set(OPEN_LAKE, db)
+    create_functions(spark)
     streamed = {spec.name for spec in schemas.STREAMED}
     names = [*(spec.name for spec in schemas.TABLES), *VIEW_SQL]
     for name in names:

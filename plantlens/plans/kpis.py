@@ -25,6 +25,8 @@ from plantlens.operators.out_of_spec import count_out_of_spec
 # The parameters of the vibration and power KPIs.
 VIBRATION = "vibration_mm_s_rms"
 POWER = "power_consumption_kw"
+# The keys of the hourly KPIs of one parameter.
+HOURLY = ["line_id", "machine_id", "date_key", "hour_of_day"]
 
 
 def _anomaly_measures() -> list:
@@ -58,15 +60,14 @@ def anomaly_rate(readings: DataFrame, lines: DataFrame, machines: DataFrame) ->
     )
 
 
-def _hourly_machine_moments(
-    rows: DataFrame,
+def _with_line_and_machine(
+    measured: DataFrame,
     lines: DataFrame,
     machines: DataFrame,
     line_columns: list[str],
     machine_columns: list[str],
 ) -> DataFrame:
     """Moments per line, machine, day and hour with the attributes of line and machine."""
-    measured = moments(rows, ["line_id", "machine_id", "date_key", "hour_of_day"])
     by_line = with_weight(lines, "line_id", *line_columns)
     by_machine = with_weight(machines, "machine_id", *machine_columns).withColumnRenamed(
         "weight", "machine_weight"
@@ -78,10 +79,16 @@ def _hourly_machine_moments(
 def vibration_trend(fact: DataFrame, lines: DataFrame, machines: DataFrame) -> DataFrame:
     """Hourly vibration statistics per machine."""
     rows = fact.filter(F.col("parameter_name") == VIBRATION)
-    measured = _hourly_machine_moments(
-        rows, lines, machines, ["line_name"], ["machine_type", "process_stage"]
+    return vibration_of_moments(moments(rows, HOURLY), lines, machines)
+
+
+def vibration_of_moments(
+    measured: DataFrame, lines: DataFrame, machines: DataFrame
+) -> DataFrame:
+    joined = _with_line_and_machine(
+        measured, lines, machines, ["line_name"], ["machine_type", "process_stage"]
     )
-    return measured.select(
+    return joined.select(
         "line_id",
         "line_name",
         "machine_id",
@@ -110,6 +117,12 @@ def parameter_stability(fact: DataFrame, machines: DataFrame, stages: DataFrame)
         fact,
         ["line_id", "machine_id", "process_stage", "parameter_name", "date_key", "hour_of_day"],
     )
+    return stability_of_moments(measured, machines, stages)
+
+
+def stability_of_moments(
+    measured: DataFrame, machines: DataFrame, stages: DataFrame
+) -> DataFrame:
     by_machine = with_weight(machines, "machine_id", "machine_type").withColumnRenamed(
         "weight", "machine_weight"
     )
@@ -162,10 +175,14 @@ def process_stage_anomaly_rate(
 def power_consumption(fact: DataFrame, lines: DataFrame, machines: DataFrame) -> DataFrame:
     """Hourly power statistics per machine, in kW."""
     rows = fact.filter(F.col("parameter_name") == POWER)
-    measured = _hourly_machine_moments(
-        rows, lines, machines, ["line_name", "product_type"], ["machine_type"]
+    return power_of_moments(moments(rows, HOURLY), lines, machines)
+
+
+def power_of_moments(measured: DataFrame, lines: DataFrame, machines: DataFrame) -> DataFrame:
+    joined = _with_line_and_machine(
+        measured, lines, machines, ["line_name", "product_type"], ["machine_type"]
     )
-    return measured.select(
+    return joined.select(
         "line_id",
         "line_name",
         "product_type",

@@ -43,6 +43,8 @@ from plantlens.streaming.chain import (
     start_silver,
     stored_expectations,
 )
+from plantlens.streaming.hourly import hourly_kpis, start_hourly
+from plantlens.streaming.sql_chain import ingest_sql
 
 # Rows and failures of every expectation, from three places that must agree.
 _EXPECTED = " UNION ALL ".join(
@@ -302,6 +304,25 @@ for place, kpi_name in enumerate(VIEWS):
     _kpi_by_name(kpi_name, f"snk_04{'abcdefg'[place]}_view_{suffix}")
 
 
+def _kpi_by_state(name: str, number: str):
+    """Registers a KPI of the hourly moments, after a first and a second delivery."""
+
+    @query(number, KPI_SQL[name])
+    def by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, lake = shared_dir(spark, "landing"), shared_dir(spark, "lake")
+        readings = silver(spark, sf_dir)
+        for half in (first_delivery, second_delivery):
+            export_json_lines(half(readings), f"{path}/{half.__name__}")
+            ingest(spark, path, lake)
+            finish(start_hourly(spark, lake))
+        return hourly_kpis(spark, lake)[name]
+
+
+_kpi_by_state("mv_vibration_trend", "dp_09b_vibration_by_state")
+_kpi_by_state("mv_parameter_stability", "dp_10b_stability_by_state")
+_kpi_by_state("mv_power_consumption", "dp_12b_power_by_state")
+
+
 @query("snk_04_view", KPI_SQL["mv_hourly_anomaly_heatmap"])
 def view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A KPI of a stored lake, in SQL."""
@@ -445,6 +466,25 @@ def increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable_fact(read_table(spark, lake, schemas.FACT))
 
 
+@query("str_01b_chain_in_sql", FACT_SQL)
+def chain_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first delivery in SQL, in micro-batches of two files, the second by DataFrames."""
+    path, lake = shared_dir(spark, "landing"), shared_dir(spark, "lake")
+    readings = silver(spark, sf_dir)
+    export_json_lines(first_delivery(readings), f"{path}/batch")
+    ingest_sql(spark, path, lake, max_files=2)
+    export_json_lines(second_delivery(readings), f"{path}/streaming")
+    ingest(spark, path, lake)
+    return _comparable_fact(read_table(spark, lake, schemas.FACT))
+
+
+@query("str_03b_silver_in_sql", SILVER_SQL)
+def silver_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = shared_dir(spark, "lake")
+    ingest_sql(spark, landing(spark, sf_dir), lake)
+    return flat_silver(read_table(spark, lake, schemas.SILVER))
+
+
 @query("str_03_parse_in_stream", SILVER_SQL)
 def parse_in_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = shared_dir(spark, "lake")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlens.functions import calendar, measures, stages
+from plantlens.functions.sql import create_functions
 from plantlens.operators.findings import flagged_machines
 from plantlens.operators.out_of_spec import flag_out_of_spec, parameter_stats, varying
 from plantlens.operators.parse import fact_rows, keyed_readings, parameter_rows, parse_lines
@@ -131,6 +132,60 @@ def out_of_spec_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select("record_id", "parameter_name", "is_out_of_spec")
 
 
+@query(
+    "prj_15_functions_in_sql",
+    f"""{WITH} SELECT record_id, date_key, CASE WHEN hour_of_day < 6 OR hour_of_day > 21 THEN 'Night'
+      WHEN hour_of_day < 14 THEN 'Day' ELSE 'Swing' END AS shift,
+    dayofweek(event_timestamp) IN (0, 6) AS is_weekend,
+    CAST(stage_sequence AS INT) AS stage_sequence, stage_category,
+    round(target_frequency_band_ghz_max - target_frequency_band_ghz_min, 3) AS bandwidth_ghz
+    FROM silver JOIN stage USING (process_stage)""",
+)
+def functions_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    create_functions(spark)
+    return spark.sql(
+        """
+        SELECT record_id, date_key_of(event_timestamp) AS date_key,
+          shift_of(hour(event_timestamp)) AS shift,
+          is_weekend_day(to_date(event_timestamp)) AS is_weekend,
+          stage_sequence_of(process_stage) AS stage_sequence,
+          stage_category_of(process_stage) AS stage_category,
+          bandwidth_of(target_frequency_band_ghz_max, target_frequency_band_ghz_min)
+            AS bandwidth_ghz
+        FROM {readings}""",
+        readings=silver(spark, sf_dir),
+    )
+
+
+@query(
+    "prj_16_measures_in_sql",
+    f"""{WITH}, measured AS (SELECT machine_id, parameter_name, sum(beyond) AS beyond, count(*) AS n,
+      any_value(mu) AS mu, any_value(sd) AS sd FROM spec GROUP BY ALL)
+    SELECT machine_id, parameter_name, {rate('beyond', 'n')} AS oos_pct,
+      round(CASE WHEN mu <> 0 THEN sd / abs(mu) END, 6) AS variation,
+      CASE WHEN {rate('beyond', 'n')} > 6 THEN 'high' WHEN {rate('beyond', 'n')} > 4 THEN 'medium'
+        ELSE 'low' END AS severity
+    FROM measured""",
+)
+def measures_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    create_functions(spark)
+    rows = fact(spark, sf_dir)
+    return spark.sql(
+        """
+        SELECT machine_id, parameter_name, CAST(pct AS DOUBLE) AS oos_pct,
+          round(variation_of(mu, sd), 6) AS variation, severity_of(pct) AS severity
+        FROM (
+          SELECT machine_id, parameter_name, first(overall_mean) AS mu, first(overall_stddev) AS sd,
+            rate_pct_of(
+              sum(out_of_spec_flag_of(parameter_value, overall_mean, overall_stddev)), count(*)
+            ) AS pct
+          FROM {rows} JOIN {series} USING (machine_id, parameter_name)
+          GROUP BY machine_id, parameter_name)""",
+        rows=rows,
+        series=varying(parameter_stats(rows)),
+    )
+
+
 @query("prj_12_date_key_and_hour", f"{WITH} SELECT record_id, date_key, hour_of_day FROM silver")
 def date_key_and_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_readings(silver(spark, sf_dir)).select("record_id", "date_key", "hour_of_day")

@@ -226,15 +226,16 @@ def ingest(
     """
     require_utc(spark)
     finish(start_bronze(spark, landing, lake, path_glob, archive=archive, **bounds))
-    silver = _logged(spark, lake, schemas.SILVER, start_silver(spark, lake, **bounds))
+    silver = logged(spark, lake, schemas.SILVER, start_silver(spark, lake, **bounds))
     finish(start_short_tables(spark, lake, **bounds))
-    fact = _logged(spark, lake, schemas.FACT, start_fact(spark, lake, **bounds))
+    fact = logged(spark, lake, schemas.FACT, start_fact(spark, lake, **bounds))
     return {schemas.SILVER.name: silver, schemas.FACT.name: fact}
 
 
-def _logged(
+def logged(
     spark: SparkSession, lake: str, spec: schemas.TableSpec, query: StreamingQuery
 ) -> Counts:
+    """Wait for a query, add its counters to the expectation log and return their sums."""
     run_id, entries, totals = str(query.runId), [], Counter()
     for batch_id, (time, counts) in _observed_batches(query, 0.5).items():
         entries += log_entries(spec.name, run_id, batch_id, time, counts)
@@ -258,15 +259,15 @@ def follow(
     makes sure that each step finds the table it reads. The names are views, computed when read.
     """
     run(spark, landing, lake, path_glob=path_glob, archive=archive, **bounds)
-    logged = [
+    counted = [
         start_silver(spark, lake, every, **bounds),
         start_fact(spark, lake, every, **bounds),
     ]
-    run_ids = {str(query.runId) for query in logged}
+    run_ids = {str(query.runId) for query in counted}
     spark.streams.addListener(ExpectationLogger(spark, lake, run_ids))
     return [
         start_bronze(spark, landing, lake, path_glob, every, archive=archive, **bounds),
-        *logged,
+        *counted,
         start_short_tables(spark, lake, every, **bounds),
     ]
 
