@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +51,9 @@ def shared_dir(spark: SparkSession, label: str) -> str:
 
     Only a local session without that setting falls back to a temporary folder.
     """
+    scope = _scope.get()
+    if scope:
+        return f"{scope}/{label}-{uuid.uuid4().hex}"
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -56,6 +62,26 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """Folders of `shared_dir` made within lie in one folder, which is removed at the end.
+
+    What is to last must be written elsewhere before: a path taken from `shared_dir` outside. Scopes
+    may be nested; a scope that ends by an error is removed as well.
+    """
+    folder = shared_dir(spark, label)
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute `df` once and keep it in the reliable checkpoint folder."""
     spark = df.sparkSession

@@ -8,11 +8,14 @@ on the folder before can finish, as it is kept; a failed write leaves a folder t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from plantlens.schemas import TableSpec
 from plantlens.sources.files import delete_folder, exists, names_in
 
+Tables = list[tuple[TableSpec, DataFrame]]
 KEPT = 2
 COMPLETE = "_complete"
 
@@ -59,15 +62,32 @@ def read_short_table(
     return spark.read.schema(spec.schema).parquet(path)
 
 
+def write_all(path: str, tables: Tables) -> None:
+    for spec, df in tables:
+        df.select(*spec.schema.names).write.parquet(f"{path}/{spec.name}")
+
+
 def write_short_tables(
-    spark: SparkSession, lake: str, batch: int, tables: list[tuple[TableSpec, DataFrame]]
+    spark: SparkSession,
+    lake: str,
+    batch: int,
+    tables: Tables,
+    derived: Callable[[DataFrame], Tables] | None = None,
 ) -> None:
-    """Write the state after `batch` to a new folder and delete those no longer kept."""
+    """Write the state after `batch` to a new folder and delete those no longer kept.
+
+    `derived` gives further tables from the last of the first ones, read from where it was written,
+    so that it is computed once and nothing else is kept of it.
+    """
     attempts = [attempt for number, attempt in _attempts(spark, lake) if number == batch]
     written = (batch, max(attempts, default=-1) + 1)
     path = _path(lake, written)
-    for spec, df in tables:
-        df.select(*spec.schema.names).write.parquet(f"{path}/{spec.name}")
+    write_all(path, tables)
+    if derived:
+        last = tables[-1][0]
+        more = derived(spark.read.schema(last.schema).parquet(f"{path}/{last.name}"))
+        write_all(path, more)
+        tables = [*tables, *more]
     names = [(spec.name,) for spec, _ in tables]
     spark.createDataFrame(names, "table string").coalesce(1).write.parquet(f"{path}/{COMPLETE}")
     kept = _complete(spark, lake)[-KEPT:]

@@ -12,8 +12,7 @@ from __future__ import annotations
 from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery
 
 from plantlens import schemas
 from plantlens.operators.dimensions import Dimensions, attribute_sets, dimensions_of_sets
@@ -21,9 +20,9 @@ from plantlens.operators.history import add_attribute_sets, add_statistics
 from plantlens.operators.out_of_spec import parameter_stats
 from plantlens.operators.parse import fact_rows, parse_lines
 from plantlens.operators.quality import expectation_report, observe_expectations
-from plantlens.plans.catalog import keep_open, point_short_tables, point_to_copies, refresh
+from plantlens.plans.catalog import keep_open, point_short_tables, point_to_copies
 from plantlens.plans.views import read_dimensions
-from plantlens.session import materialize, require_utc
+from plantlens.session import require_utc
 from plantlens.sources.compaction import FILE_BYTES, compact_table
 from plantlens.sources.landing import stream_lines
 from plantlens.sources.short_tables import batches_written, read_short_table, write_short_tables
@@ -32,11 +31,18 @@ from plantlens.sources.tables import (
     read_stored,
     read_table,
     stream_table,
-    table_path,
     triggered,
 )
+from plantlens.streaming.log import (
+    Counts,
+    ExpectationLogger,
+    append_to_log,
+    log_entries,
+    logged_expectations,
+    merge_log,
+)
 
-Counts = dict[str, int]
+__all__ = ["compact", "finish", "follow", "ingest", "logged_expectations", "run"]
 
 
 def start_bronze(
@@ -113,21 +119,17 @@ def _known(arrived: DataFrame, lake: str, spec: schemas.TableSpec, number: int |
 def _write_short_tables(
     spark: SparkSession, lake: str, number: int, sets: DataFrame, stats: DataFrame
 ) -> None:
-    kept = materialize(sets)
-    dims = dimensions_of_sets(kept)
-    write_short_tables(
-        spark,
-        lake,
-        number,
-        [
-            (schemas.SETS, kept),
-            (schemas.STATS, stats),
+    def dimensions_of(written: DataFrame) -> list[tuple[schemas.TableSpec, DataFrame]]:
+        dims = dimensions_of_sets(written)
+        return [
             (schemas.DIM_LINE, dims.line),
             (schemas.DIM_MACHINE, dims.machine),
             (schemas.DIM_DATE, dims.date),
             (schemas.DIM_STAGE, dims.stage),
-        ],
-    )
+        ]
+
+    tables = [(schemas.STATS, stats), (schemas.SETS, sets)]
+    write_short_tables(spark, lake, number, tables, dimensions_of)
     point_short_tables(spark, lake)
 
 
@@ -159,57 +161,6 @@ def _observed_batches(query: StreamingQuery, poll_seconds: float) -> dict[int, t
     return per_batch
 
 
-def log_entries(table: str, run_id: str, batch_id: int, time: str, counts: Counts) -> list[tuple]:
-    rows = counts.get("rows") or 0
-    return [
-        (table, run_id, batch_id, time, rows, name, failed or 0)
-        for name, failed in counts.items()
-        if name != "rows"
-    ]
-
-
-def append_to_log(spark: SparkSession, lake: str, entries: list[tuple]) -> None:
-    """Add counters to the expectation log of a lake: a few rows per table and micro-batch."""
-    if not entries:
-        return
-    types = {"batch_time": "string"}
-    ddl = ", ".join(
-        f"{f.name} {types.get(f.name, f.dataType.simpleString())}"
-        for f in schemas.EXPECTATION_LOG_SCHEMA
-    )
-    rows = spark.createDataFrame(entries, ddl).withColumn(
-        "batch_time", F.to_timestamp("batch_time")
-    )
-    rows.coalesce(1).write.mode("append").parquet(table_path(lake, schemas.EXPECTATION_LOG))
-
-
-class ExpectationLogger(StreamingQueryListener):
-    """Writes the counters of running queries to the expectation log, batch by batch."""
-
-    def __init__(self, spark: SparkSession, lake: str, run_ids: set[str]):
-        self.spark, self.lake, self.run_ids = spark, lake, run_ids
-
-    def onQueryStarted(self, event):
-        pass
-
-    def onQueryProgress(self, event):
-        progress = event.progress
-        if str(progress.runId) not in self.run_ids or not progress.numInputRows:
-            return
-        for table, metrics in progress.observedMetrics.items():
-            entries = log_entries(
-                table, str(progress.runId), progress.batchId, progress.timestamp, metrics.asDict()
-            )
-            append_to_log(self.spark, self.lake, entries)
-        refresh(self.spark, self.lake)
-
-    def onQueryIdle(self, event):
-        pass
-
-    def onQueryTerminated(self, event):
-        pass
-
-
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -225,6 +176,7 @@ def ingest(
     leave out fact rows whose dimension row is missing.
     """
     require_utc(spark)
+    merge_log(spark, lake)
     finish(start_bronze(spark, landing, lake, path_glob, archive=archive, **bounds))
     silver = logged(spark, lake, schemas.SILVER, start_silver(spark, lake, **bounds))
     finish(start_short_tables(spark, lake, **bounds))
@@ -311,17 +263,3 @@ def compact(
 def stored_expectations(spark: SparkSession, lake: str, spec: schemas.TableSpec) -> DataFrame:
     """Expectations over everything stored in a table, whatever run it came from."""
     return expectation_report(read_table(spark, lake, spec), spec.expectations)
-
-
-def logged_expectations(spark: SparkSession, lake: str) -> DataFrame:
-    """Rows and failed rows per table and expectation over all logged micro-batches.
-
-    A micro-batch that was done again after a failure counts once, as it was done last.
-    """
-    log = read_table(spark, lake, schemas.EXPECTATION_LOG)
-    last = log.groupBy("table_name", "batch_id", "expectation").agg(
-        F.max_by(F.struct("rows", "failed"), "batch_time").alias("last")
-    )
-    return last.groupBy("table_name", "expectation").agg(
-        F.sum("last.rows").alias("rows"), F.sum("last.failed").alias("failed")
-    )

@@ -18,7 +18,8 @@ from plantlens.schemas import TableSpec
 from plantlens.session import require_utc
 from plantlens.sources.landing import REMEMBER_FILES_FOR, bounded
 from plantlens.sources.tables import append_stream, stream_table
-from plantlens.streaming.chain import Counts, finish, logged, start_short_tables
+from plantlens.streaming.chain import finish, logged, start_short_tables
+from plantlens.streaming.log import Counts, merge_log
 
 LANDED = "landed_lines"
 
@@ -123,6 +124,7 @@ def ingest_sql(
 ) -> dict[str, Counts]:
     """One increment, as `chain.ingest` takes it, with the three steps given in SQL."""
     require_utc(spark)
+    merge_log(spark, lake)
     create_functions(spark)
     landed_view(spark, landing, path_glob, **bounds)
     finish(append_sql(spark, lake, schemas.BRONZE, bronze_sql))

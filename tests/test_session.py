@@ -1,11 +1,12 @@
 """The shared folder, and what holds for all queries."""
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import __spark_entry__ as entry_point
 import pytest
 
-from plantlens.session import materialize, shared_dir, use_utc
+from plantlens.session import materialize, scratch, shared_dir, use_utc
 from plantlens.streaming.chain import ingest
 
 # Queries that write and read tables of their own are left out; their parts are in the others.
@@ -18,6 +19,22 @@ def test_folder_is_below_the_checkpoint_setting(spark):
     assert first.startswith(base) and first != second
 
 
+def test_a_scope_removes_what_was_made_within(spark):
+    kept = shared_dir(spark, "kept")
+    with scratch(spark, "outer") as outer:
+        with pytest.raises(ZeroDivisionError), scratch(spark, "inner") as inner:
+            spark.range(5).write.parquet(shared_dir(spark, "x"))
+            assert Path(inner).parent == Path(outer) and list(Path(inner).iterdir())
+            raise ZeroDivisionError
+        assert not Path(inner).exists()
+        made = shared_dir(spark, "x")
+        spark.range(5).write.parquet(made)
+        spark.read.parquet(made).write.parquet(kept)
+    assert not Path(outer).exists()
+    assert spark.read.parquet(kept).count() == 5
+    assert Path(shared_dir(spark, "x")).parent == Path(kept).parent
+
+
 def test_a_cluster_must_name_its_folder():
     session = SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default: None),
