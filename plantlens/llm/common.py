@@ -20,9 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: computed once, no lineage left."""
-    path = shared_dir(df.sparkSession, label)
+def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write `df` to the shared folder and read it back: computed once, no lineage left.
+
+    Within `session.scratch` it lies in the folder of the scope and is removed with it. `path`, taken
+    from `shared_dir` outside, lets it stay.
+    """
+    path = path or shared_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -199,13 +199,14 @@ def components(links: DataFrame) -> DataFrame:
             F.col("node"), "inner",
         )
         lowest = seen.groupBy("node").agg(F.min("label").alias("low"))
-        nearer = labels.join(lowest, "node").select(
-            "node", F.col("label").alias("was"), F.least("label", "low").alias("near"), "n"
-        )
-        jump = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
+        # Most nodes of a giant component have one label, so its share of them is known to the join.
+        shares = labels.groupBy("label").agg(F.count("*").alias("members"))
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        jumps = stored(shares.join(jump, "label"), "jumps")
+        further = join_hot(labels, jumps, ["label"], "members", F.col("node"), "inner")
         after = stored(
-            nearer.join(jump, "near").select(
-                "node", F.least("near", "far").alias("label"), "n", "was"
+            further.join(lowest, "node").select(
+                "node", F.least("far", "low", "label").alias("label"), "n", F.col("label").alias("was")
             ),
             "labels",
         )

@@ -1,5 +1,7 @@
 """The pipeline's stages, each against a plain version on its own input."""
 
+from pathlib import Path
+
 import corpus_pipeline
 import pytest
 from test_llm_queries import plain_fingerprint, plain_statistics
@@ -102,3 +104,14 @@ def test_mixing_stage_draws_from_its_input(steps):
 def test_run_gives_the_last_stage(spark, sf_dir, steps):
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted(r.doc_id for r in rows) == sorted(steps[0][-1])
+
+
+def test_a_run_leaves_only_documents_of_stages(spark, sf_dir, steps):
+    """Work of the stages is removed when their documents are written; the result stays readable."""
+    base = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(base.iterdir())
+    result = corpus_pipeline.run(spark, sf_dir)
+    left = {path.name.rsplit("-", 1)[0] for path in set(base.iterdir()) - before}
+    assert {"quality-rules", "line-dedup", "near-dedup", "decontamination"} <= left
+    assert not any(name.startswith("work-") for name in left)
+    assert {r.doc_id for r in result.collect()} <= set(steps[0][-2])
