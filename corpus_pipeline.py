@@ -1,7 +1,8 @@
 """Documents through quality rules, line dedup, near-dedup, decontamination and mixing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. Between stages
-the documents are written as Parquet to the shared folder and read again.
+the documents are written as Parquet to the shared folder and read again. What a stage keeps for itself
+is removed once its documents are written; the last stage's stays, as its result is computed when read.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from plantlens.llm import decontaminate, line_dedup, mixing, quality_rules, simhash
 from plantlens.llm.common import stored, table
 from plantlens.registry.core import Query
-from plantlens.session import use_utc
+from plantlens.session import scratch, shared_dir, use_utc
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
@@ -67,9 +68,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(use_utc(spark), sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stored(docs, name.replace(" ", "-"))
+        if i == len(STAGES) - 1:
+            return stage(spark, docs, sf_dir)
+        label = name.replace(" ", "-")
+        path = shared_dir(spark, label)
+        with scratch(spark, f"work-{label}"):
+            docs = stored(stage(spark, docs, sf_dir), label, path)
     return docs
 
 
