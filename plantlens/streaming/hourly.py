@@ -28,7 +28,6 @@ from plantlens.operators.parse import fact_rows
 from plantlens.plans import kpis
 from plantlens.plans.views import read_dimensions
 from plantlens.session import require_utc
-from plantlens.sources.files import exists
 from plantlens.sources.tables import stream_table, triggered
 
 STATE = "_hourly_moments"
@@ -108,10 +107,6 @@ def hourly_moments(spark: SparkSession, lake: str) -> DataFrame:
     return moments_of_sums(sums)
 
 
-def has_hourly(spark: SparkSession, lake: str) -> bool:
-    return exists(spark, f"{state_path(lake)}/state")
-
-
 def _of_parameter(measured: DataFrame, parameter: str) -> DataFrame:
     """A machine may report several stages within an hour, which are merged."""
     found = measured.filter(F.col("parameter_name") == parameter)
