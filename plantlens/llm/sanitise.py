@@ -1,21 +1,23 @@
 """Information-theoretic sanitisation of personal data, all in DataFrame and SQL functions.
 
 Four kinds of identifiers are found by pattern: e-mail and IP addresses, card and phone numbers.
-These are the protected entities. Terms near an entity may give it away as well: over the corpus,
-lines are the contexts, and the information that a term t gives of an entity e is
+These are the protected entities. Terms near an entity may give it away as well. Texts are cut into
+pieces, a line or `PIECE` words of one; a context is a piece with the `REACH` pieces before and after
+it, across line ends. Over the corpus, the information that a term t gives of an entity e is
 
     PMI(t; e) = log( N * n(t, e) / (n(t) * n(e)) ),    IC(e) = log( N / n(e) )
 
-with n counting different lines: all N, those with t, those with e, and those where t stands
-within `NEAR` code points of e. Terms are capitalised words (`TERM`, a parameter): names of people,
-places and firms. A term discloses e if n(t, e) is at least `MIN_LINES` and PMI is at least `ALPHA`
-of IC: knowing t then leaves almost nothing to learn of e. Equal lines count once, so that copies of
-one text are no evidence. Disclosing terms are protected wherever they occur.
+with n counting different contexts: all N, those with e in any piece, those with t in the middle
+one, and those with both. Terms are all words, letters and digits of any script, told apart without
+regard to case (`TERM`, a parameter). A term discloses e if n(t, e) is at least `MIN_CONTEXTS` and
+PMI is at least `ALPHA` of IC: knowing t then leaves almost nothing to learn of e. Equal contexts
+count once, so that copies of one text are no evidence.
+Disclosing terms are protected wherever they occur. Words inside an identifier are no terms beside it.
 
-Pairs of term and entity come from windows of fixed size, so their number grows with the text.
+Pieces hold at most `PIECE` words, so the pairs of term and entity grow with the text.
 Counts are aggregated before each shuffle. Candidate terms are broadcast up to `BROADCAST_BYTES`
-and else joined by shuffle. Disclosing terms are looked up in sets of `TERMS_AT_ONCE`; if there are
-more, the rows are stored between the sets.
+and else joined by shuffle. Up to `TERMS_AT_ONCE` disclosing terms are looked up in a set in one
+pass over the texts; more are joined to the different words of the texts.
 
 Spans are code points, end exclusive. Null texts are empty: no spans. Repeated rows get the same
 spans each. Patterns run in linear time on long runs of letters and digits. Input columns named
@@ -29,14 +31,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantlens.llm.common import stored, stored_bytes, without
+from plantlens.llm.common import fresh, join_hot, stored, stored_bytes, without
 
-NEAR = 100
-MIN_LINES = 4
+PIECE = 32
+REACH = 3
+MIN_CONTEXTS = 4
 ALPHA = 0.9
 BROADCAST_BYTES = 32 << 20
 TERMS_AT_ONCE = 50_000
-TERM = r"(?<![\p{L}\p{M}])\p{Lu}[\p{L}\p{M}]++"
+WORD = r"\p{L}\p{M}\p{N}"
+TERM = rf"[{WORD}]++"
 
 # Possessive forms, begun only where a run begins or the last match ended, match the same spans as
 # the plain ones without trying every place of a run.
@@ -125,75 +129,148 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def entity_lines(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Different lines that hold an identifier: line_key, line, found (kind, start, end, value)."""
-    lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line"))
-    likely = lines.where("line like '%@%' or line rlike '[0-9]'")
+def bound_to(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, also where a lambda of the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    def tagged(kind: str) -> Column:
-        return F.transform(
-            pattern_spans(F.col("line"), kind), lambda s: F.struct(F.lit(kind).alias("kind"), s.alias("s"))
-        )
 
-    spans = likely.select("line", F.concat(*map(tagged, KINDS)).alias("found"))
-    return (
-        spans.where(F.size("found") > 0)
-        .groupBy(F.xxhash64("line").alias("line_key"), F.sha2("line", 256).alias("_sha"))
-        .agg(F.first("line").alias("line"), F.first("found").alias("found"))
+def has_words(text: str) -> Column:
+    return F.col(text).rlike(f"[{WORD}]")
+
+
+def pieces_of(text: Column) -> Column:
+    """Pieces of a text that has words: lines, with wordless ones before, or `PIECE` words of them."""
+    cut = rf"(?:[^{WORD}\n]*+\n)*+(?:[^{WORD}\n]*+[{WORD}]++){{1,{PIECE}}}(?:[^{WORD}\n]*+(?:\n++|\z))?"
+    ended = F.regexp_replace(text, rf"(?<=[{WORD}])[^{WORD}]++\z", "")
+    return F.regexp_extract_all(ended, F.lit(cut), F.lit(0))
+
+
+def window(items: Column, i: Column) -> Column:
+    """The items up to `REACH` before and after place i, which counts from 0."""
+    first = F.greatest(i - REACH, F.lit(0))
+    return F.slice(items, first + 1, F.least(i + REACH + 1, F.size(items)) - first)
+
+
+def context_key(hashes: Column, i: Column) -> Column:
+    """Hash of the context of piece i, with what it lacks at the ends of the text."""
+    before = F.greatest(REACH - i, F.lit(0))
+    after = F.greatest(i + REACH + 1 - F.size(hashes), F.lit(0))
+    return F.xxhash64(window(hashes, i), before, after)
+
+
+def contexts_of(text: Column, more: Callable[[Column], Column] | None = None) -> Column:
+    """The contexts of a text in order: key, piece, the piece after it, items of `more` in the window."""
+
+    def placed(pieces: Column, hashes: Column, items: Column | None) -> Column:
+        def context(i: Column) -> Column:
+            after = F.coalesce(F.try_element_at(pieces, i + 2), F.lit(""))
+            fields = [context_key(hashes, i).alias("key"), F.element_at(pieces, i + 1).alias("piece"), after.alias("after")]
+            if items is not None:
+                fields.append(F.array_distinct(F.flatten(window(items, i))).alias("items"))
+            return F.struct(*fields)
+
+        return F.transform(F.sequence(F.lit(0), F.size(pieces) - 1), context)
+
+    def hashed(pieces: Column) -> Column:
+        return F.transform(pieces, lambda piece: F.xxhash64(piece))
+
+    if more is None:
+        return bound_to(pieces_of(text), lambda p: bound_to(hashed(p), lambda h: placed(p, h, None)))
+    return bound_to(
+        pieces_of(text),
+        lambda p: bound_to(hashed(p), lambda h: bound_to(more(p), lambda items: placed(p, h, items))),
     )
 
 
-def near_terms(line: Column, start: Column, end: Column, near: int, term: str) -> Column:
-    """Terms within `near` code points of a span; words cut by the window are left out."""
-    left = F.substring(line, F.greatest(start - near, F.lit(0)) + 1, F.least(start, F.lit(near)))
-    right = F.substring(line, end + 1, F.lit(near))
-    whole_left = F.when(start > near, F.regexp_replace(left, r"^[^\x20\x09-\x0D]+", "")).otherwise(left)
-    cut = F.length(line) > end + near
-    whole_right = F.when(cut, F.regexp_replace(right, r"[^\x20\x09-\x0D]+$", "")).otherwise(right)
-    both = [F.regexp_extract_all(side, F.lit(term), F.lit(0)) for side in (whole_left, whole_right)]
-    return F.transform(F.concat(*both), F.lower)
+def terms_in(text: Column, term: str) -> Column:
+    """The different terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(term), F.lit(0)), F.lower))
+
+
+def entities_of(pieces: Column) -> Column:
+    """The identifiers that begin in each piece, as kind:value.
+
+    They are sought in the piece and the one after it, and do not begin where a piece cuts its line:
+    what stands there may be the rest of another.
+    """
+
+    def begun(i: Column) -> Column:
+        piece = F.element_at(pieces, i + 1)
+        after = F.coalesce(F.try_element_at(pieces, i + 2), F.lit(""))
+        fresh_line = (i == 0) | F.endswith(F.element_at(pieces, F.greatest(i, F.lit(1))), F.lit("\n"))
+        return bound_to(F.concat(piece, after), lambda block: named(block, F.length(piece), fresh_line))
+
+    def named(block: Column, end: Column, fresh_line: Column) -> Column:
+        lead = F.length(F.regexp_extract(block, rf"^[^{WORD}]*+", 0))
+
+        def of_kind(kind: str) -> Column:
+            mine = F.filter(
+                pattern_spans(block, kind), lambda s: (s["start"] < end) & (fresh_line | (s["start"] > lead))
+            )
+            return F.transform(mine, lambda s: F.concat_ws(":", F.lit(kind), F.lower(s["value"])))
+
+        return F.concat(*map(of_kind, KINDS))
+
+    return F.transform(F.sequence(F.lit(0), F.size(pieces) - 1), begun)
+
+
+def entity_contexts(docs: DataFrame, text: str, term: str) -> DataFrame:
+    """Different contexts that hold identifiers: key, entities, terms of the piece beside them."""
+    whole = F.col(text)
+    any_kind = may_have(whole, "email") | may_have(whole, "ip") | may_have(whole, "phone") | may_have(whole, "card")
+    likely = docs.where(has_words(text) & any_kind)
+    placed = likely.select(F.explode(contexts_of(whole, entities_of)).alias("c")).where(F.size("c.items") > 0)
+    rows = placed.select("c.key", "c.piece", F.col("c.items").alias("entities"), F.concat("c.piece", "c.after").alias("block"))
+
+    def clipped(kind: str) -> Column:
+        mine = F.filter(f"{kind}_spans", lambda s: s["start"] < F.length("piece"))
+        ends = F.transform(
+            mine,
+            lambda s: F.struct(
+                s["start"], F.least(s["end"], F.length("piece")).alias("end"), s["value"]
+            ),
+        )
+        return tagged(ends, " ")
+
+    beside = replaced(F.col("piece"), F.concat(*map(clipped, KINDS)))
+    found = base_spans(rows, "block")
+    return found.select("key", "entities", terms_in(beside, term).alias("terms")).dropDuplicates(["key"])
 
 
 def disclosing_terms(
     docs: DataFrame,
     text: str = "text",
-    near: int = NEAR,
-    least: int = MIN_LINES,
+    least: int = MIN_CONTEXTS,
     alpha: float = ALPHA,
     term: str = TERM,
 ) -> DataFrame:
     """Terms (lower case) that disclose entities: term, n_entities, strength (largest PMI / IC)."""
-    lines = stored(entity_lines(docs, text), "entity-lines")
-    placed = lines.select("line_key", "line", F.explode("found").alias("e")).select(
-        "line_key",
-        F.concat_ws(":", "e.kind", F.lower("e.s.value")).alias("entity"),
-        near_terms(F.col("line"), F.col("e.s.start"), F.col("e.s.end"), near, term).alias("around"),
-    )
-    n_lines = different_lines(docs, text).count()
-    total = F.lit(float(max(n_lines, 1)))
+    contexts = stored(entity_contexts(docs, text, term), "entity-contexts")
+    keys = F.transform(contexts_of(F.col(text)), lambda c: c["key"])
+    n_contexts = docs.where(has_words(text)).select(F.explode(keys).alias("key")).distinct().count()
+    total = F.lit(float(max(n_contexts, 1)))
     information = F.log(total / F.col("n_e"))
 
     def strength(n_t: str) -> Column:
         return F.log(total * F.col("n_te") / (F.col(n_t) * F.col("n_e"))) / information
 
-    entities = placed.select("line_key", "entity").distinct().groupBy("entity")
+    entities = contexts.select(F.explode("entities").alias("entity")).groupBy("entity")
     repeated = entities.agg(F.count("*").alias("n_e")).where(F.col("n_e") >= least)
-    met = stored(
-        placed.select("line_key", "entity", F.explode("around").alias("term")).distinct(), "met"
-    )
-    together = met.groupBy("term", "entity").agg(F.count("*").alias("n_te"))
-    # Lines near any entity are some of those with the term: too many of them, and it is out.
-    beside = met.select("term", "line_key").distinct().groupBy("term")
-    beside = beside.agg(F.count("*").alias("n_near"))
+    # Contexts with any entity are some of those with the term: too many of them, and it is out.
+    beside = contexts.select(F.explode("terms").alias("term")).groupBy("term")
+    beside = beside.agg(F.count("*").alias("n_near")).where(F.col("n_near") >= least)
+    met = contexts.select("terms", F.explode("entities").alias("entity"))
+    together = met.select(F.explode("terms").alias("term"), "entity").groupBy("term", "entity")
     pairs = stored(
-        together.where(F.col("n_te") >= least)
+        together.agg(F.count("*").alias("n_te"))
+        .where(F.col("n_te") >= least)
         .join(repeated, "entity")
         .join(beside, "term")
         .where(strength("n_near") >= alpha),
         "pairs",
     )
     candidates = stored(pairs.select("term").distinct(), "candidates")
-    counts = lines_with(docs, text, candidates, term)
+    counts = contexts_with(docs, text, candidates, term)
     judged = pairs.join(counts, "term").withColumn("strength", strength("n_t"))
     return stored(
         judged.where(F.col("strength") >= alpha)
@@ -203,22 +280,18 @@ def disclosing_terms(
     )
 
 
-def different_lines(docs: DataFrame, text: str) -> DataFrame:
-    """Keys of the different lines of the corpus."""
-    lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).where("line <> ''")
-    return lines.select(F.xxhash64("line").alias("line_key")).distinct()
+def wanted_only(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """The rows whose `term` is one of the stored terms."""
+    small = stored_bytes(terms) <= BROADCAST_BYTES
+    wanted = terms.select("term")
+    return rows.join(F.broadcast(wanted) if small else wanted.hint("merge"), "term", "left_semi")
 
 
-def lines_with(docs: DataFrame, text: str, candidates: DataFrame, term: str) -> DataFrame:
-    """Number of different lines with each candidate term: term, n_t."""
-    lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).where("line <> ''")
-    words = lines.select(
-        F.xxhash64("line").alias("line_key"),
-        F.explode(F.regexp_extract_all("line", F.lit(term), F.lit(0))).alias("term"),
-    ).withColumn("term", F.lower("term"))
-    small = stored_bytes(candidates) <= BROADCAST_BYTES
-    wanted = F.broadcast(candidates) if small else candidates.hint("merge")
-    found = words.join(wanted, "term", "left_semi").distinct()
+def contexts_with(docs: DataFrame, text: str, candidates: DataFrame, term: str) -> DataFrame:
+    """Number of different contexts with each candidate term: term, n_t."""
+    placed = docs.where(has_words(text)).select(F.explode(contexts_of(F.col(text))).alias("c"))
+    words = placed.select("c.key", F.explode(terms_in(F.col("c.piece"), term)).alias("term"))
+    found = wanted_only(words, candidates).distinct()
     return found.groupBy("term").agg(F.count("*").alias("n_t"))
 
 
@@ -230,17 +303,23 @@ def find_spans(
     `terms` are those of `disclosing_terms`, by default of these documents.
     """
     judged = disclosing_terms(docs, text, term=term) if terms is None else stored(terms, "terms")
-    found = base_spans(docs, text).withColumn("term_spans", F.array().cast(SPAN_TYPE))
-    blocks = -(-judged.count() // TERMS_AT_ONCE)
+    found = base_spans(docs, text)
     whole = F.coalesce(F.col(text), F.lit(""))
-    for block in range(blocks):
-        mine = F.pmod(F.xxhash64("term"), F.lit(blocks)) == block
-        words = [row["term"] for row in judged.where(mine).select("term").collect()]
-        more = spans_where(whole, term, lambda match, words=words: F.lower(match).isin(words))
-        found = found.withColumn("term_spans", F.array_sort(F.concat("term_spans", more)))
-        if block < blocks - 1:
-            found = stored(found, "spans")
-    return found
+    if judged.count() <= TERMS_AT_ONCE:
+        words = [row["term"] for row in judged.select("term").collect()]
+        spans = spans_where(whole, term, lambda match: F.lower(match).isin(words))
+        return found.withColumn("term_spans", spans if words else F.array().cast(SPAN_TYPE))
+    key, own, n_rows = (fresh(name, found) for name in ("_key", "_own", "_rows"))
+    keyed = found.withColumn(key, F.sha2(whole, 256))
+    words = keyed.select(key, F.explode(terms_in(whole, term)).alias("term"))
+    owned = wanted_only(words, judged).groupBy(key).agg(F.collect_set("term").alias(own))
+    n_texts = keyed.groupBy(key).agg(F.count("*").alias(n_rows))
+    lookup = stored(owned.join(n_texts, key), "terms-of-texts")
+    joined = join_hot(keyed, lookup, [key], n_rows, F.rand(7), "left")
+    mine = F.coalesce(F.col(own), F.array().cast("array<string>"))
+    spans = spans_where(whole, term, lambda match: F.array_contains(mine, F.lower(match)))
+    named = joined.withColumn("term_spans", F.when(F.size(mine) > 0, spans).otherwise(F.array().cast(SPAN_TYPE)))
+    return named.select(*(F.col(f"`{c}`") for c in found.columns), "term_spans")
 
 
 def span_list(kinds: list[str]) -> Column:
@@ -260,19 +339,16 @@ def span_list(kinds: list[str]) -> Column:
 TAGS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[NAME]"}
 
 
-def sanitise(found: DataFrame, text: str = "text", tags: dict[str, str] = TAGS) -> DataFrame:
-    """The texts of `find_spans` with each span generalised to its tag; an empty tag removes it.
-
-    Overlapping spans give way to the one that begins first, the longer one at a tie.
-    """
-    whole = F.coalesce(F.col(text), F.lit(""))
+def tagged(spans: Column | str, tag: str) -> Column:
+    """Spans in the form in which they are sorted and replaced, with what replaces them."""
+    return F.transform(
+        spans,
+        lambda s: F.struct(s["start"], (-s["end"]).alias("back"), F.lit(tag).alias("tag")),
+    )
 
-    def tagged(kind: str) -> Column:
-        return F.transform(
-            f"{kind}_spans",
-            lambda s: F.struct(s["start"], (-s["end"]).alias("back"), F.lit(tags[kind]).alias("tag")),
-        )
 
+def replaced(whole: Column, spans: Column) -> Column:
+    """A text with its tagged spans replaced; one that begins inside another goes with it."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, span: Column) -> Column:
@@ -284,4 +360,14 @@ def sanitise(found: DataFrame, text: str = "text", tags: dict[str, str] = TAGS)
     def finish(state: Column) -> Column:
         return F.concat(state["out"], F.substring(whole, state["at"] + 1, F.length(whole)))
 
-    return found.withColumn(text, F.aggregate(F.array_sort(F.concat(*map(tagged, tags))), start, step, finish))
+    return F.aggregate(F.array_sort(spans), start, step, finish)
+
+
+def sanitise(found: DataFrame, text: str = "text", tags: dict[str, str] = TAGS) -> DataFrame:
+    """The texts of `find_spans` with each span generalised to its tag; an empty tag removes it.
+
+    Overlapping spans give way to the one that begins first, the longer one at a tie.
+    """
+    whole = F.coalesce(F.col(text), F.lit(""))
+    spans = F.concat(*(tagged(f"{kind}_spans", tag) for kind, tag in tags.items()))
+    return found.withColumn(text, replaced(whole, spans))
