@@ -4,10 +4,15 @@ Tokens are tags, told apart by their path from the root, and the text runs outsi
 occurrence vectors say how often each stands in each page of the host. Tokens with equal vectors
 form an equivalence class. A class belongs to the template if it occurs on most of the host's
 different pages, at least `MIN_PAGES`, and nests: the parent of each of its tokens is in a class
-that belongs to it, or in its own. What is left between the template's tokens are slots. Text of the template is
+that belongs to it, or in its own. Layouts that only some pages of a host have are told by classes on
+at least `MIN_PAGES` of them, whatever their share, that hold a tag and at least `MIN_TOKENS` tokens;
+a tag is on every page on which its children are, so these nest by themselves. Their text counts as template
+on pages where it is at most half of the text outside the host's template: more is a copied article.
+What is left between the template's tokens are slots. Text of the template is
 dropped, and so are slots inside menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments, told by tag and role. A class or id that is as a whole such a name counts as well,
-unless its element has most of the text of its article, or of the page outside the template. If the template has an article or main element
+reader comments, told by tag and role. A class or id that is as a whole such a name counts as well, and so does
+a dialog, unless its element has most of the text of its article, or of the page outside the template.
+Hidden text and what media elements hold for readers without them stay. If the template has an article or main element
 once on every page, only slots inside it are extracted; else, and on hosts with too few pages, an
 article or main element of the page itself; else all slots that remain.
 
@@ -38,6 +43,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from plantlens.llm.common import fresh, join_hot, slices, stored, stored_bytes, without
 
 MIN_PAGES = 4
+MIN_TOKENS = 3
 MOST = 0.8
 BROADCAST_BYTES = 32 << 20
 
@@ -75,7 +81,7 @@ ENDS_P = set(
     "main menu nav ol p pre section table ul".split()
 )
 DROPPED_TAGS = set(
-    "head nav aside form footer select button dialog object audio video canvas menu datalist".split()
+    "head nav aside form footer select button menu datalist".split()
 )
 DROPPED_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu".split())
 # Names are whole classes or ids, alone or made of such words and numbers only.
@@ -111,13 +117,13 @@ def is_dropped(tag: str, own: dict[str, str], in_article: bool) -> bool:
         return False
     if tag in NEVER_DROPPED and not (tag == "article" and in_article):
         return False
-    if own.get("role", "").lower() in DROPPED_ROLES or "hidden" in own:
-        return True
-    return own.get("aria-hidden", "").lower() == "true"
+    return own.get("role", "").lower() in DROPPED_ROLES
 
 
 def is_named(tag: str, own: dict[str, str], in_article: bool) -> bool:
-    """Whether class or id speak for furniture, which is weak evidence."""
+    """Whether class or id, or a dialog, speak for furniture, which is weak evidence."""
+    if tag == "dialog":
+        return True
     if not own or tag in NEVER_DROPPED and not (tag == "article" and in_article):
         return False
     names = f"{own.get('class', '')} {own.get('id', '')}"
@@ -278,8 +284,10 @@ def page_tokens(page: str) -> dict[int, list]:
     return found
 
 
-def main_text(page: str, main: frozenset[int], fixed: frozenset[int]) -> str:
-    """The text of the slots that remain."""
+def main_text(
+    page: str, main: frozenset[int], fixed: frozenset[int], layout: frozenset[int] = frozenset()
+) -> str:
+    """The text of the slots that remain; `layout` has the texts of classes on some pages of the host."""
     slots: list[tuple[Element, str]] = []
     for kind, element, value in events(page):
         if kind == "text":
@@ -292,6 +300,8 @@ def main_text(page: str, main: frozenset[int], fixed: frozenset[int]) -> str:
     weigh({e.scope for e, _ in slots})
     slots = [(e, value) for e, value in slots if not value or not e.scope.gone]
     any_main = any(e.main for e, value in slots if value)
+    if layout and not any_main:
+        fixed = fixed | layout_of_page(slots, fixed, layout)
     inside = bool(main) and any(e.main & main for e, _ in slots)
     blocks: list[list[str]] = [[]]
     for element, value in slots:
@@ -309,6 +319,18 @@ def main_text(page: str, main: frozenset[int], fixed: frozenset[int]) -> str:
     return " ".join(text for text in joined if text)
 
 
+def layout_of_page(slots: list[tuple[Element, str]], fixed: frozenset, layout: frozenset) -> frozenset:
+    """`layout`, if its text is at most half of the text outside the template, else nothing."""
+    size = own = 0
+    for element, value in slots:
+        token = text_token(element, value) if value else None
+        if value and token not in fixed:
+            letters = len("".join(value.split()))
+            size += letters
+            own += letters if token in layout else 0
+    return layout if 2 * own <= size else frozenset()
+
+
 # On Spark
 
 
@@ -317,8 +339,12 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), pattern, 1))
 
 
-def deduce_templates(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """The template of each host: host, main (paths of article elements), fixed (text tokens)."""
+def page_key(html: str) -> Column:
+    return F.xxhash64(html)
+
+
+def count_tokens(pages: DataFrame, html: str = "html", url: str = "url") -> tuple[DataFrame, DataFrame]:
+    """Tokens of the pages, and of the hosts with occurrence vectors, if on `MIN_PAGES` pages; stored."""
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -333,9 +359,9 @@ def deduce_templates(pages: DataFrame, html: str = "html", url: str = "url") ->
     schema = T.StructType.fromDDL(TOKEN_FIELDS)
     names, kinds = schema.names, to_arrow_schema(schema).types
     source = pages.select(
-        host_of(F.col(url)).alias("host"), F.xxhash64(html).alias("page"), F.col(html).alias("html")
+        host_of(F.col(url)).alias("host"), page_key(html).alias("page"), F.col(html).alias("html")
     )
-    tokens = source.mapInArrow(tokenise, schema).distinct()
+    tokens = stored(source.mapInArrow(tokenise, schema).distinct(), "page-tokens")
 
     def vector(seed: int) -> Column:
         return F.sum(F.pmod(F.xxhash64(F.lit(seed), "page", "n"), F.lit(1 << 31))).alias(f"vector{seed}")
@@ -353,10 +379,38 @@ def deduce_templates(pages: DataFrame, html: str = "html", url: str = "url") ->
         counted.groupBy("host").agg(F.max(root).alias("all"), F.count("*").alias("n")), "hosts"
     )
     met = join_hot(counted, hosts, ["host"], "n", F.col("token"), "inner")
-    usual = met.where((F.col("all") >= MIN_PAGES) & (F.col("pages") >= MOST * F.col("all")))
+    return tokens, stored(met.where(F.col("all") >= MIN_PAGES), "host-tokens")
+
+
+def templates_of(met: DataFrame) -> DataFrame:
+    """The template of each host: host, main (paths of article elements), fixed (text tokens)."""
+    usual = met.where(F.col("pages") >= MOST * F.col("all"))
     return stored(usual.groupBy("host").applyInPandas(nest_classes, TEMPLATE_FIELDS), "templates")
 
 
+def deduce_templates(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """The templates of the hosts, as `templates_of` gives them."""
+    return templates_of(count_tokens(pages, html, url)[1])
+
+
+def layouts_of(tokens: DataFrame, met: DataFrame) -> DataFrame:
+    """Texts of classes that only some pages of a host have: host, page, layout (text tokens), by page."""
+    some = met.where(F.col("pages") < MOST * F.col("all"))
+    vectors = ["host", "vector1", "vector2"]
+    large = (
+        some.groupBy(*vectors)
+        .agg(F.count("*").alias("size"), F.every("is_text").alias("bare"))
+        .where((F.col("size") >= MIN_TOKENS) & ~F.col("bare"))
+    )
+    texts = stored(some.where("is_text").join(large, vectors).select("host", "token", "pages"), "layouts")
+    placed = tokens.where("is_text").select("host", "token", "page")
+    if stored_bytes(texts) <= BROADCAST_BYTES:
+        found = placed.join(F.broadcast(texts.drop("pages")), ["host", "token"])
+    else:
+        found = join_hot(placed, texts, ["host", "token"], "pages", F.col("page"), "inner")
+    return stored(found.groupBy("host", "page").agg(F.collect_set("token").alias("layout")), "page-layouts")
+
+
 def nest_classes(tokens: pd.DataFrame) -> pd.DataFrame:
     """The template of one host out of the tokens on most of its pages.
 
@@ -385,24 +439,37 @@ def nest_classes(tokens: pd.DataFrame) -> pd.DataFrame:
 
 
 def extract(
-    pages: DataFrame, html: str = "html", url: str = "url", templates: DataFrame | None = None
+    pages: DataFrame,
+    html: str = "html",
+    url: str = "url",
+    templates: DataFrame | None = None,
+    layouts: DataFrame | None = None,
 ) -> DataFrame:
-    """`pages` with `text` and `n_chars`; the html column is kept."""
-    learned = deduce_templates(pages, html, url) if templates is None else templates
+    """`pages` with `text` and `n_chars`; the html column is kept.
+
+    Templates and layouts are those of `templates_of` and `layouts_of`, by default of these pages; where
+    only templates are given, there are no layouts.
+    """
+    if templates is None:
+        tokens, met = count_tokens(pages, html, url)
+        templates, layouts = templates_of(met), layouts_of(tokens, met)
     base = without(pages, ["text", "n_chars"])
-    host, main, fixed, n_pages, page = (
-        fresh(name, base) for name in ("_host", "_main", "_fixed", "_pages", "_html")
+    host, key, main, fixed, layout, n_rows, page = (
+        fresh(name, base) for name in ("_host", "_page", "_main", "_fixed", "_layout", "_rows", "_html")
     )
-    hosted = base.withColumn(host, host_of(F.col(url)))
-    keyed = learned.select(F.col("host").alias(host), F.col("main").alias(main), F.col("fixed").alias(fixed))
-    if stored_bytes(learned) <= BROADCAST_BYTES:
-        joined = hosted.join(F.broadcast(keyed), host, "left")
+    hosted = base.withColumn(host, host_of(F.col(url))).withColumn(key, page_key(html))
+    spread = F.xxhash64(html)
+    keyed = templates.select(F.col("host").alias(host), F.col("main").alias(main), F.col("fixed").alias(fixed))
+    joined = join_stored(hosted, hosted, templates, keyed, [host], n_rows, spread)
+    if layouts is None:
+        joined = joined.withColumn(layout, F.array().cast("array<long>"))
     else:
-        counts = hosted.groupBy(host).agg(F.count("*").alias(n_pages))
-        lookup = stored(counts.join(keyed, host), "templates")
-        joined = join_hot(hosted, lookup, [host], n_pages, F.xxhash64(html), "left")
+        of_page = layouts.select(F.col("host").alias(host), F.col("page").alias(key), F.col("layout").alias(layout))
+        joined = join_stored(joined, hosted, layouts, of_page, [host, key], n_rows, F.rand(3))
     rest = base.columns
-    ordered = joined.select(*(F.col(f"`{c}`") for c in rest), F.col(f"`{html}`").alias(page), main, fixed)
+    ordered = joined.select(
+        *(F.col(f"`{c}`") for c in rest), F.col(f"`{html}`").alias(page), main, fixed, layout
+    )
     schema = T.StructType(
         [*base.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
     )
@@ -411,13 +478,23 @@ def extract(
         for batch in batches:
             for part in slices(batch):
                 texts = [
-                    main_text(page or "", frozenset(main or ()), frozenset(fixed or ()))
-                    for page, main, fixed in zip(*(c.to_pylist() for c in part.columns[-3:]), strict=True)
+                    main_text(page or "", *(frozenset(tokens or ()) for tokens in sets))
+                    for page, *sets in zip(*(c.to_pylist() for c in part.columns[-4:]), strict=True)
                 ]
                 lengths = pa.array([len(t) for t in texts], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-3], pa.array(texts, pa.string()), lengths],
+                    [*part.columns[:-4], pa.array(texts, pa.string()), lengths],
                     names=[*rest, "text", "n_chars"],
                 )
 
     return ordered.mapInArrow(run, schema)
+
+
+def join_stored(
+    rows: DataFrame, hosted: DataFrame, kept: DataFrame, lookup: DataFrame, on: list[str], n_rows: str, spread: Column
+) -> DataFrame:
+    """Left join of a lookup made of the stored frame `kept`: broadcast if small, else hot keys are spread."""
+    if stored_bytes(kept) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(lookup), on, "left")
+    counts = hosted.groupBy(*on).agg(F.count("*").alias(n_rows))
+    return join_hot(rows, stored(counts.join(lookup, on), "lookup"), on, n_rows, spread, "left")
