@@ -37,21 +37,22 @@ def query(name: str, sql: str | None = None):
 
 
 LINE_DEDUP_SQL = r"""
-WITH lines AS (
-  SELECT doc_id, i, line,
+WITH numbered AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT r, doc_id, i, line,
          translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
-        FROM documents)),
+  FROM (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM numbered)),
 frequent AS (
   SELECT line_key FROM lines WHERE line_key <> ''
-  GROUP BY line_key HAVING count(DISTINCT doc_id) >= 10),
+  GROUP BY line_key HAVING count(DISTINCT r) >= 10),
 marked AS (
   SELECT l.*, f.line_key IS NOT NULL AS gone FROM lines l LEFT JOIN frequent f USING (line_key))
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY r, doc_id
 """
 
 
@@ -145,11 +146,16 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PREFERENCE_SQL = r"""
-WITH said AS (
-  SELECT conv_id, turn,
-         min(struct_pack(role := coalesce(role, ''), said := coalesce(text, ''))) AS t
-  FROM conversations GROUP BY conv_id, turn),
-spoken AS (SELECT conv_id, list(t ORDER BY turn) AS turns FROM said GROUP BY conv_id),
+WITH rendered AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations),
+said AS (
+  SELECT DISTINCT conv_id, turn, role, said, CAST(NULL AS BIGINT) AS alone FROM rendered WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT conv_id, turn, role, said, row_number() OVER () FROM rendered WHERE conv_id IS NULL),
+spoken AS (
+  SELECT conv_id, list(struct_pack(role := role, said := said)
+                       ORDER BY turn NULLS FIRST, role, said) AS turns
+  FROM said GROUP BY conv_id, alone),
 known AS (
   SELECT *, coalesce(list_max(list_filter(range(1, len(turns) + 1),
                                           lambda i: turns[i].role = 'assistant')), 0) AS last

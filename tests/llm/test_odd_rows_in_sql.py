@@ -1,0 +1,39 @@
+"""The SQL of line dedup and preference formatting on repeated ids, null ids and shared turn numbers."""
+
+import duckdb
+
+from plantlens.llm.queries import LLM_QUERIES
+
+
+def same(spark, tmp_path, name, table, rows, fields):
+    spark.createDataFrame(rows, fields).coalesce(1).write.parquet(str(tmp_path / f"{table}.parquet"))
+    query = LLM_QUERIES[name]
+    found = query.run(spark, str(tmp_path))
+    names = sorted(found.columns)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    listed = ", ".join(f'"{n}"' for n in names)
+    expected = con.execute(f"SELECT {listed} FROM ({query.sql})").fetchall()
+    own = [tuple(r) for r in found.select(*names).collect()]
+    assert sorted(map(str, own)) == sorted(map(str, expected))
+    return own
+
+
+def test_lines_of_documents_with_equal_ids(spark, tmp_path):
+    rows = [(1, "Same line\nown") for _ in range(9)] + [(2, " same LINE\t"), (2, None), (None, ""), (None, "same line\n\n")]
+    rows += [(3, "twice\ntwice")] * 9
+    own = same(spark, tmp_path, "op1_line_dedup", "documents", rows, "doc_id long, text string")
+    assert len(own) == len(rows)
+
+
+def test_turns_with_equal_numbers_and_null_ids(spark, tmp_path):
+    rows = [
+        (1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 0, "user", "ho"), (1, 1, "assistant", "a"), (1, None, None, "first"),
+        (2, 0, "user", "hi"), (2, 1, "assistant", "b"), (2, 1, "assistant", None), (2, 1, None, None),
+        (3, 0, "assistant", "b"), (4, 0, "user", "only"), (5, 0, "assistant", "c"),
+        (None, 0, "user", "x"), (None, 0, "user", "x"), (None, None, "assistant", "y"),
+    ]
+    own = same(
+        spark, tmp_path, "op10_preference", "conversations", rows, "conv_id long, turn int, role string, text string"
+    )
+    assert len(own) == 8
