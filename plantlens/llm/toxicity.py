@@ -8,8 +8,9 @@ weights are broadcast; their size is bounded by the number of coordinates.
 Training takes at most `SAMPLE_ROWS` labelled rows (by a hash of the id, so the bound holds at any
 size), dealt to `SHARDS` tasks. In each of `ROUNDS` rounds every task goes through its rows, in
 the order of a hash, from the common state; the states are then averaged, coordinate by
-coordinate, over the tasks that met it. Whole texts are read; labels, ids, languages and sources
-are no inputs of a score.
+coordinate, over the tasks that met it. They are averaged by tasks as well, in blocks of
+coordinates, so the driver gets 12 bytes a coordinate and round, however many tasks learn. Whole
+texts are read; labels, ids, languages and sources are no inputs of a score.
 
 Words are `[^\\x20\\x09-\\x0D]+` with A-Z lowered and marks at both ends stripped. Null and empty
 texts get the score of the bias. Rows with null labels teach nothing; an id labelled twice is toxic
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +38,8 @@ BITS = 20
 SAMPLE_ROWS = 24_000
 SHARDS = 4
 ROUNDS = 5
+BLOCK_BITS = 14
+BLOCK_TASKS = 32
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.01
 MARKS = b".,;:!?\"'()[]{}*#$%&-"
 CACHE_WORDS = 500_000
@@ -157,7 +161,8 @@ def train(
     state = Ftrl.new(bits)
     sc = docs.sparkSession.sparkContext
     for _ in range(ROUNDS):
-        shared = sc.broadcast(packed(state, np.flatnonzero(state.n)))
+        seen = np.flatnonzero(state.n)
+        shared = sc.broadcast(packed(seen, state.z[seen], state.n[seen]))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = Ftrl.new(bits)
@@ -169,21 +174,34 @@ def train(
                     for found, toxic in zip(part.column(0), part.column(1).to_pylist(), strict=True):
                         own.learn(found.values.to_numpy(), toxic)
             met = np.flatnonzero(own.n != before)
-            if len(met):
-                columns = [pa.array([blob], pa.binary()) for blob in packed(own, met)]
-                yield pa.RecordBatch.from_arrays(columns, names=["at", "z", "n"])
+            shard = TaskContext.get().partitionId()
+            for block in np.unique(met >> BLOCK_BITS):
+                here = met[met >> BLOCK_BITS == block]
+                keys = [pa.array([key], pa.int32()) for key in (block, shard)]
+                blobs = [pa.array([b], pa.binary()) for b in packed(here, own.z[here], own.n[here])]
+                yield pa.RecordBatch.from_arrays(
+                    [*keys, *blobs], names=["block", "shard", "at", "z", "n"]
+                )
 
-        told = dealt.mapInArrow(run, "at binary, z binary, n binary").collect()
+        # Few coordinates a row and few rows a task: nothing large arrives at the driver at once.
+        told = (
+            dealt.mapInArrow(run, "block int, shard int, at binary, z binary, n binary")
+            .repartition(BLOCK_TASKS, "block")
+            .groupBy("block")
+            .applyInArrow(average_block, "at binary, z binary, n binary")
+            .collect()
+        )
         shared.destroy()
-        state = average(state, told)
-    weights = state.weights()
-    at = np.flatnonzero(weights)
-    return at, weights[at]
+        while told:
+            at, z, n = unpacked(told.pop())
+            state.z[at], state.n[at] = z, n
+    at = np.flatnonzero(np.abs(state.z) > L1)
+    return at, state.weights(at)
 
 
-def packed(state: Ftrl, at: np.ndarray) -> tuple[bytes, bytes, bytes]:
+def packed(at: np.ndarray, z: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """Coordinates with their z and n, 12 bytes each."""
-    parts = (at.astype(np.int32), state.z[at].astype(np.float32), state.n[at].astype(np.float32))
+    parts = (at.astype(np.int32), z.astype(np.float32), n.astype(np.float32))
     return tuple(part.tobytes() for part in parts)
 
 
@@ -194,20 +212,19 @@ def unpacked(blobs: tuple[bytes, bytes, bytes]) -> tuple[np.ndarray, ...]:
     )
 
 
-def average(state: Ftrl, told: list[tuple[bytes, bytes, bytes]]) -> Ftrl:
+def average(told: list[tuple[bytes, bytes, bytes]]) -> tuple[bytes, bytes, bytes]:
     """Mean of the tasks' states over those that met a coordinate."""
-    z, n = np.zeros_like(state.z), np.zeros_like(state.n)
-    met = np.zeros(len(z), dtype=np.int32)
-    while told:
-        at, own_z, own_n = unpacked(told.pop())
-        z[at] += own_z
-        n[at] += own_n
-        met[at] += 1
-    some = met > 0
-    z[some] /= met[some]
-    n[some] /= met[some]
-    z[~some], n[~some] = state.z[~some], state.n[~some]
-    return Ftrl(z, n)
+    at, z, n = (np.concatenate(parts) for parts in zip(*map(unpacked, told), strict=True))
+    met, where, times = np.unique(at, return_inverse=True, return_counts=True)
+    return packed(met, np.bincount(where, z) / times, np.bincount(where, n) / times)
+
+
+def average_block(told: pa.Table) -> pa.Table:
+    """`average` of a block of coordinates, in the order of the tasks."""
+    names = ["at", "z", "n"]
+    rows = told.sort_by("shard").select(names).to_pylist()
+    blobs = average([tuple(row.values()) for row in rows])
+    return pa.table([pa.array([blob], pa.binary()) for blob in blobs], names=names)
 
 
 def score(
