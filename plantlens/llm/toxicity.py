@@ -189,11 +189,11 @@ def train(
             .repartition(BLOCK_TASKS, "block")
             .groupBy("block")
             .applyInArrow(average_block, "at binary, z binary, n binary")
-            .collect()
+            .toArrow()
         )
         shared.destroy()
-        while told:
-            at, z, n = unpacked(told.pop())
+        for blobs in zip(*told.columns, strict=True):
+            at, z, n = unpacked(tuple(blob.as_buffer() for blob in blobs))
             state.z[at], state.n[at] = z, n
     at = np.flatnonzero(np.abs(state.z) > L1)
     return at, state.weights(at)

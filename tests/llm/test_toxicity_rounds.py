@@ -19,13 +19,18 @@ def test_a_round_tells_each_coordinate_once(spark, monkeypatch):
     labels = docs.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) AS toxic")
     told = []
 
-    def collect(df, take=type(docs).collect):
-        rows = take(df)
-        if df.columns[-3:] == ["at", "z", "n"]:
-            told.append([(row["at"], row["z"], row["n"]) for row in rows])
-        return rows
-
-    monkeypatch.setattr(type(docs), "collect", collect)
+    def noting(take):
+        def call(df):
+            taken = take(df)
+            if df.columns[-3:] == ["at", "z", "n"]:
+                rows = taken if isinstance(taken, list) else taken.to_pylist()
+                told.append([(row["at"], row["z"], row["n"]) for row in rows])
+            return taken
+
+        return call
+
+    for name in ("collect", "toArrow"):
+        monkeypatch.setattr(type(docs), name, noting(getattr(type(docs), name)))
     at, weights = toxicity.train(docs, labels, bits=BITS)
     assert len(at) == len(weights) > 0
     assert len(told) == toxicity.ROUNDS
