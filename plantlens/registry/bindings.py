@@ -174,10 +174,10 @@ def damaged_lines(spark: SparkSession, sf_dir: str, errors: bool = False) -> Dat
         )
         .otherwise(line)
     )
-    lines = json_lines(silver(spark, sf_dir)).select(
-        F.get_json_object("value", "$.record_id").alias("record_id"), "value"
-    )
-    return lines.join(events, "record_id").select(
+    # Joined by the id of the reading before its line is written: looked up in the line, the id would
+    # have every line made twice, once to test whether it has one.
+    readings = silver(spark, sf_dir).join(events, "record_id")
+    return json_lines(readings, "record_id", "event_type").select(
         damaged.alias("raw_content"), F.lit("damaged").alias("_source_file")
     )
 

@@ -11,11 +11,11 @@ from plantlens.schemas import READING_SCHEMA
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
-def json_lines(silver: DataFrame) -> DataFrame:
-    """One JSON object per reading in `value`, beside its `line_id`."""
+def json_lines(silver: DataFrame, *beside: str) -> DataFrame:
+    """One JSON object per reading in `value`, beside its `line_id` and other columns."""
     reading = silver.withColumn("timestamp", F.date_format("event_timestamp", EVENT_TIME_FORMAT))
     fields = F.struct(*READING_SCHEMA.names)
-    return reading.select("line_id", F.to_json(fields).alias("value"))
+    return reading.select("line_id", *beside, F.to_json(fields).alias("value"))
 
 
 def export_json_lines(silver: DataFrame, path: str) -> None:

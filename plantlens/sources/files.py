@@ -21,6 +21,12 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in system.listStatus(place)] if system.exists(place) else []
 
 
+def count_files(spark: SparkSession, path: str) -> int:
+    """Files in a folder and below it, counted by the file system; none if there is no such folder."""
+    system, place = _on(spark, path)
+    return system.getContentSummary(place).getFileCount() if system.exists(place) else 0
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     system, place = _on(spark, path)
     system.mkdirs(place)

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plantlens.schemas import LOAD_DAY, SHORT, TableSpec
 from plantlens.sources.compaction import with_copies
-from plantlens.sources.files import exists, make_folder
+from plantlens.sources.files import count_files, exists, make_folder, names_in
 from plantlens.sources.landing import REMEMBER_FILES_FOR, bounded
 from plantlens.sources.short_tables import read_short_table
 
@@ -59,6 +59,44 @@ def stream_table(
     return rows.select(*spec.schema.names)
 
 
+class TableBounds:
+    """Bounds of the micro-batches that read stored tables, made of those of the landed files.
+
+    `max_files` counts landed files. Tasks and partitions make many files of one, the more the larger
+    it is, so as many files of a table are taken at once as one micro-batch has written: on average
+    since this object was made, or over all if nothing was written since. What follows a table then
+    has about as many micro-batches as the table itself, however many files they hold.
+    """
+
+    def __init__(
+        self, spark: SparkSession, lake: str, specs: tuple[TableSpec, ...], **bounds
+    ):
+        self.spark, self.lake, self.bounds = spark, lake, bounds
+        self.before = {spec.name: self._appended(spec) for spec in specs} if self._by_files else {}
+
+    @property
+    def _by_files(self) -> bool:
+        return bool(self.bounds.get("max_files"))
+
+    def _appended(self, spec: TableSpec) -> tuple[int, int]:
+        """Files and micro-batches that a stream has appended to a table."""
+        path = table_path(self.lake, spec)
+        files = count_files(self.spark, path) - count_files(self.spark, f"{path}/_spark_metadata")
+        done = names_in(self.spark, f"{checkpoint_path(self.lake, spec)}/commits")
+        return files, max((int(name) + 1 for name in done if name.isdigit()), default=0)
+
+    def of(self, spec: TableSpec) -> dict[str, int]:
+        """The bounds for a stream that reads this table now."""
+        if not self._by_files:
+            return self.bounds
+        files, batches = self._appended(spec)
+        files_before, batches_before = self.before[spec.name]
+        if batches > batches_before:
+            files, batches = files - files_before, batches - batches_before
+        written = -(-files // max(1, batches))
+        return {**self.bounds, "max_files": max(self.bounds["max_files"], written)}
+
+
 def triggered(writer, every: str | None):
     """Take what is there and stop, or go on at an interval such as "5 seconds"."""
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -27,6 +27,7 @@ from plantlens.sources.compaction import FILE_BYTES, compact_table
 from plantlens.sources.landing import stream_lines
 from plantlens.sources.short_tables import batches_written, read_short_table, write_short_tables
 from plantlens.sources.tables import (
+    TableBounds,
     append_stream,
     read_stored,
     read_table,
@@ -54,7 +55,10 @@ def start_bronze(
     archive: str | None = None,
     **bounds,
 ) -> StreamingQuery:
-    """`bounds` are `max_files` or `max_bytes` of a micro-batch, here and below."""
+    """`bounds` are `max_files` or `max_bytes` of a micro-batch, here and below.
+
+    Files are those of the folder or table that a step reads; a chain of steps takes `later_bounds`.
+    """
     lines = stream_lines(spark, landing, path_glob, archive=archive, **bounds)
     return append_stream(lines, lake, schemas.BRONZE, every)
 
@@ -161,6 +165,11 @@ def _observed_batches(query: StreamingQuery, poll_seconds: float) -> dict[int, t
     return per_batch
 
 
+def later_bounds(spark: SparkSession, lake: str, **bounds) -> TableBounds:
+    """Bounds of the steps after bronze, by the table that each one reads."""
+    return TableBounds(spark, lake, (schemas.BRONZE, schemas.SILVER), **bounds)
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -173,14 +182,18 @@ def ingest(
 
     Returns, for silver and fact, the rows appended and the rows that failed each expectation.
     The same counters go to the expectation log. Dimensions come before the fact, since the KPIs
-    leave out fact rows whose dimension row is missing.
+    leave out fact rows whose dimension row is missing. `max_files` counts landed files; the later
+    steps take what has become of about as many.
     """
     require_utc(spark)
     merge_log(spark, lake)
+    later = later_bounds(spark, lake, **bounds)
     finish(start_bronze(spark, landing, lake, path_glob, archive=archive, **bounds))
-    silver = logged(spark, lake, schemas.SILVER, start_silver(spark, lake, **bounds))
-    finish(start_short_tables(spark, lake, **bounds))
-    fact = logged(spark, lake, schemas.FACT, start_fact(spark, lake, **bounds))
+    lines = later.of(schemas.BRONZE)
+    silver = logged(spark, lake, schemas.SILVER, start_silver(spark, lake, **lines))
+    readings = later.of(schemas.SILVER)
+    finish(start_short_tables(spark, lake, **readings))
+    fact = logged(spark, lake, schemas.FACT, start_fact(spark, lake, **readings))
     return {schemas.SILVER.name: silver, schemas.FACT.name: fact}
 
 
@@ -211,16 +224,18 @@ def follow(
     makes sure that each step finds the table it reads. The names are views, computed when read.
     """
     run(spark, landing, lake, path_glob=path_glob, archive=archive, **bounds)
+    later = later_bounds(spark, lake, **bounds)
+    readings = later.of(schemas.SILVER)
     counted = [
-        start_silver(spark, lake, every, **bounds),
-        start_fact(spark, lake, every, **bounds),
+        start_silver(spark, lake, every, **later.of(schemas.BRONZE)),
+        start_fact(spark, lake, every, **readings),
     ]
     run_ids = {str(query.runId) for query in counted}
     spark.streams.addListener(ExpectationLogger(spark, lake, run_ids))
     return [
         start_bronze(spark, landing, lake, path_glob, every, archive=archive, **bounds),
         *counted,
-        start_short_tables(spark, lake, every, **bounds),
+        start_short_tables(spark, lake, every, **readings),
     ]
 
 

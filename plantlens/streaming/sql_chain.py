@@ -18,7 +18,7 @@ from plantlens.schemas import TableSpec
 from plantlens.session import require_utc
 from plantlens.sources.landing import REMEMBER_FILES_FOR, bounded
 from plantlens.sources.tables import append_stream, stream_table
-from plantlens.streaming.chain import finish, logged, start_short_tables
+from plantlens.streaming.chain import finish, later_bounds, logged, start_short_tables
 from plantlens.streaming.log import Counts, merge_log
 
 LANDED = "landed_lines"
@@ -126,13 +126,15 @@ def ingest_sql(
     require_utc(spark)
     merge_log(spark, lake)
     create_functions(spark)
+    later = later_bounds(spark, lake, **bounds)
     landed_view(spark, landing, path_glob, **bounds)
     finish(append_sql(spark, lake, schemas.BRONZE, bronze_sql))
-    arrivals_view(spark, lake, schemas.BRONZE, **bounds)
+    arrivals_view(spark, lake, schemas.BRONZE, **later.of(schemas.BRONZE))
     silver = logged(
         spark, lake, schemas.SILVER, append_sql(spark, lake, schemas.SILVER, silver_sql)
     )
-    finish(start_short_tables(spark, lake, **bounds))
-    arrivals_view(spark, lake, schemas.SILVER, **bounds)
+    readings = later.of(schemas.SILVER)
+    finish(start_short_tables(spark, lake, **readings))
+    arrivals_view(spark, lake, schemas.SILVER, **readings)
     fact = logged(spark, lake, schemas.FACT, append_sql(spark, lake, schemas.FACT, fact_sql))
     return {schemas.SILVER.name: silver, schemas.FACT.name: fact}
